@@ -1,11 +1,77 @@
-"""The corpus pipeline: language ID, exact dedup, near-dedup, mixing, packing.
+"""The corpus pipeline: language ID, exact dedup, near-dedup, mixing sources to target weights, best-fit packing.
 
-Each stage takes (spark, docs, sf_dir); its rows are written as Parquet and are the next stage's docs.
+Each stage takes (spark, docs, sf_dir). Its rows are written as Parquet and read again as the next stage's docs; all
+stages but the last return the columns of documents.
 """
 
-STAGES = []
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from plinth.llm.common import SPACE_RUN, saved, shared_dir, table
+from plinth.llm.conflict_packing import pack_documents
+from plinth.llm.exact_dedup import exact_dedup
+from plinth.llm.language_id import language_id
+from plinth.llm.mixing import repeated_documents
+from plinth.llm.near_dedup import near_dedup
+
+
+def _staying(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs whose doc_id is in ids (doc_id, null too), with the columns of docs."""
+    wanted = saved(ids.select(F.col("doc_id").alias("wanted")).distinct())
+    return docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(F.col("wanted")), "left_semi")
+
+
+def _one_row(docs: DataFrame) -> DataFrame:
+    """One row for each (doc_id, text): which of its repeated rows stays is settled by their other columns."""
+    others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
+    digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_RUN, " "), 256)
+    rank = F.row_number().over(Window.partitionBy("doc_id", digest).orderBy(F.hash(*others) if others else F.lit(0)))
+    columns = [F.col(c) for c in docs.columns]
+    return docs.select(*columns, rank.alias("plinth_rank")).filter("plinth_rank = 1").select(*docs.columns)
+
+
+def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without any letter (``und``); every other language stays."""
+    return _staying(docs, language_id(docs).filter("lang_pred != 'und'"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _one_row(_staying(docs, exact_dedup(docs).filter("kept")))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _staying(docs, near_dedup(docs).filter("kept"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays; half of all words again are shared out by the sources' weights as second copies."""
+    return repeated_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("language_id", identify_languages),
+    ("exact_dedup", drop_copies),
+    ("near_dedup", drop_near_copies),
+    ("mixing", mix),
+    ("packing", pack),
+]
+
+#: The first stage is a trained network, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        path = f"{shared_dir(spark)}/plinth-stage-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs
