@@ -5,24 +5,45 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plinth.llm.common import table
 from plinth.llm.conflict_packing import pack_documents
 from plinth.llm.exact_dedup import exact_dedup
+from plinth.llm.html_text import extract_text
 from plinth.llm.language_id import language_id
 from plinth.llm.mixing import mix_sources
 from plinth.llm.near_dedup import near_dedup
+from plinth.llm.nearest import nearest
 from plinth.llm.pii import find_pii
+from plinth.llm.quality import quality
+from plinth.llm.token_packing import pack_tokens
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_tokens(table(spark, sf_dir, "documents"))
+
+
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
@@ -41,7 +62,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
+    "op2_nearest": op2_nearest,
     "op3_pii": op3_pii,
+    "op4_quality": op4_quality,
+    "op5_token_packing": op5_token_packing,
+    "op6_html_text": op6_html_text,
     "op7_near_dedup": op7_near_dedup,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_conflict_packing": op9_conflict_packing,
