@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -34,6 +36,11 @@ LEAST_SENTENCE, LONGEST_DESCRIPTION = 8, 1000
 SPAN = "array<struct<s:int,e:int,m:string>>"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def compact(x: Column) -> Column:
     """White space runs as one space, trimmed; null as the empty text."""
     return F.trim(F.regexp_replace(F.coalesce(x, F.lit("")), r"(?U)[\s\x1c-\x1f]+", " "))
@@ -45,23 +52,38 @@ def blank_to_null(x: Column) -> Column:
 
 def matches(text: Column, pattern: str) -> Column:
     """All matches of a pattern: start, end, match."""
-    found, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.arrays_zip(F.slice(parts, 1, F.size(found)).alias("a"), found.alias("m"))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         s = acc["at"] + F.length(x["a"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))).alias("out"))
+        hit = F.struct(s.alias("s"), (s + F.length(x["m"])).alias("e"), x["m"].alias("m"))
+        return F.struct((s + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(hit)).alias("out"))
+
+    def walk(x: Column) -> Column:
+        pairs = F.arrays_zip(F.slice(x["parts"], 1, F.size(x["found"])).alias("a"), x["found"].alias("m"))
+        return F.aggregate(pairs, start, step)["out"]
+
+    return let(_pieces(text, pattern), walk)
+
 
-    return F.aggregate(pairs, start, step)["out"]
+def _pieces(text: Column, pattern: str) -> Column:
+    """Struct of all matches and of what lies before, between and after them."""
+    return let(text, lambda t: F.struct(F.regexp_extract_all(t, F.lit(pattern), F.lit(0)).alias("found"), F.split(t, pattern, -1).alias("parts")))
+
+
+def edited(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
+    """The text with every match replaced by change(match)."""
+
+    def join(x: Column) -> Column:
+        new = F.concat(F.transform(x["found"], change), F.array(F.lit("")))
+        return F.array_join(F.zip_with(x["parts"], new, lambda p, b: F.concat(p, b)), "")
+
+    return let(_pieces(text, pattern), join)
 
 
 def masked(text: Column, pattern: str) -> Column:
     """The text with every match replaced by as many spaces, so that offsets stay."""
-    found, parts = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    blanks = F.concat(F.transform(found, lambda m: F.repeat(F.lit(" "), F.length(m))), F.array(F.lit("")))
-    return F.array_join(F.zip_with(parts, blanks, lambda p, b: F.concat(p, b)), "")
+    return edited(text, pattern, lambda m: F.repeat(F.lit(" "), F.length(m)))
 
 
 def distinct_texts(texts: Column) -> Column:
@@ -86,7 +108,7 @@ def sentences(text: Column, keep_tail: bool = False) -> Column:
         return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("s"), e.alias("e"), compact(x).alias("m")))).alias("out"))
 
     cut = F.aggregate(parts, start, step)["out"]
-    cut = cut if keep_tail else F.slice(cut, 1, F.size(cut) - 1)
+    cut = cut if keep_tail else let(cut, lambda c: F.slice(c, 1, F.size(c) - 1))
     return F.filter(cut, lambda x: F.length(x["m"]) >= LEAST_SENTENCE)
 
 
@@ -105,10 +127,14 @@ def labels(text: Column) -> Column:
 
 def figure_id(text: Column) -> Column:
     """Struct raw, id of the first figure id of a text; null fields if it has none."""
-    text = F.coalesce(text, F.lit(""))
-    zh, fig, figure = (F.regexp_extract(text, FIGURE_ID, k) for k in (1, 2, 3))
-    name = F.when(zh != "", F.concat(F.lit("图"), zh)).when(fig != "", F.concat(F.lit("Fig."), fig)).when(figure != "", F.concat(F.lit("Figure "), figure))
-    return F.struct(blank_to_null(compact(F.regexp_extract(text, FIGURE_ID, 0))).alias("raw"), name.alias("id"))
+
+    def name(t: Column) -> Column:
+        zh, fig, figure = (F.regexp_extract(t, FIGURE_ID, k) for k in (1, 2, 3))
+        named = F.when(zh != "", F.concat(F.lit("图"), zh)).when(fig != "", F.concat(F.lit("Fig."), fig)).when(figure != "", F.concat(F.lit("Figure "), figure))
+        return F.struct(blank_to_null(compact(t)).alias("raw"), named.alias("id"))
+
+    # the match alone holds all groups; a word boundary before it is a given
+    return let(F.regexp_extract(F.coalesce(text, F.lit("")), FIGURE_ID, 0), name)
 
 
 def figure_number(text: Column) -> Column:
@@ -117,9 +143,8 @@ def figure_number(text: Column) -> Column:
 
 def mentioned_numbers(text: Column) -> Column:
     """Numbers of all figures that a text mentions, lower case, each once."""
-    text = F.coalesce(text, F.lit(""))
-    groups = [F.regexp_extract_all(text, F.lit(MENTION), F.lit(k)) for k in (1, 2, 3)]
-    return F.array_distinct(F.transform(F.filter(F.concat(*groups), lambda x: x != ""), F.lower))
+    groups = lambda t: F.concat(*[F.regexp_extract_all(t, F.lit(MENTION), F.lit(k)) for k in (1, 2, 3)])
+    return F.array_distinct(F.transform(F.filter(let(F.coalesce(text, F.lit("")), groups), lambda x: x != ""), F.lower))
 
 
 def escaped(x: Column) -> Column:
@@ -156,8 +181,9 @@ def description(caption: Column, references: Column, identifier: Column, label:
     first = F.when(F.coalesce(caption, F.lit("")) != "", F.when(F.coalesce(label, F.lit("")) != "", named).otherwise(plain))
     parts = F.filter(F.concat(F.array_compact(F.array(first)), references), lambda x: x != "")
     if fallback is not None:
-        parts = F.when(F.size(parts) == 0, F.slice(complete_sentences(F.coalesce(fallback, F.lit(""))), 1, 2)).otherwise(parts)
-    return blank_to_null(F.rtrim(F.left(F.array_join(distinct_texts(parts), " "), F.lit(LONGEST_DESCRIPTION))))
+        other = F.slice(complete_sentences(F.coalesce(fallback, F.lit(""))), 1, 2)
+        parts = let(parts, lambda p: F.when(F.size(p) == 0, other).otherwise(p))
+    return let(F.rtrim(F.left(F.array_join(distinct_texts(parts), " "), F.lit(LONGEST_DESCRIPTION))), blank_to_null)
 
 
 def is_base64_image(x: Column) -> Column:

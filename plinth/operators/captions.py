@@ -33,8 +33,7 @@ def caption_lines(after: Column) -> Column:
     """
     state = F.struct(F.lit(0).alias("blank"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc: Column, raw: Column) -> Column:
-        line = X.compact(raw)
+    def step(acc: Column, line: Column) -> Column:
         started = F.size(acc["out"]) > 0
         previous = F.element_at(acc["out"], -1)
         wall = line.rlike(X.IMAGE) | line.rlike(X.TABLE_START) | line.rlike(X.HEADING) | line.rlike(X.REFERENCES)
@@ -44,7 +43,7 @@ def caption_lines(after: Column) -> Column:
         out = F.when(stop | (line == ""), acc["out"]).otherwise(F.concat(acc["out"], F.array(line)))
         return F.struct((acc["blank"] + (line == "").cast("int")).alias("blank"), (stop | (F.size(out) >= MOST_LINES)).alias("done"), out.alias("out"))
 
-    return F.aggregate(X.lines(after), state, step)["out"]
+    return F.aggregate(F.transform(X.lines(after), X.compact), state, step)["out"]
 
 
 def _before(text: Column, pattern: str) -> Column:
@@ -109,38 +108,46 @@ def _after_stop(text: Column) -> Column:
 
 def caption_details(raw: Column, identifier: Column) -> Column:
     """Struct of the caption, the sentences that follow it, and why it was cut (null if whole)."""
-    text = X.compact(raw)
-    number = F.coalesce(X.figure_number(identifier), X.figure_number(text))
-    long = (F.length(F.regexp_replace(text, r"[^\x{4e00}-\x{9fff}]", "")) > LONG_CHINESE) | (F.length(text) > LONG)
-    cuts = [(_other_figure(text, number), "multiple_figure_ids_in_caption"), (_repeated_figure(text, number), "repeated_figure_id"), (_phrase(text), "explanatory_phrase"), (_body_word(text), "space_body_start"), (F.when(long, _after_stop(text)), "length_guard")]
-    first = F.get(F.filter(F.array(*[F.struct(at.alias("at"), F.lit(why).alias("why")) for at, why in cuts]), lambda c: c["at"].isNotNull()), F.lit(0))
-    return F.transform(F.array(F.struct(first.alias("cut"), text.alias("text"))), _cut)[0]
+
+    def cut(x: Column) -> Column:
+        text, number = x["text"], x["number"]
+        long = (F.length(F.regexp_replace(text, r"[^\x{4e00}-\x{9fff}]", "")) > LONG_CHINESE) | (F.length(text) > LONG)
+        cuts = [(_other_figure(text, number), "multiple_figure_ids_in_caption"), (_repeated_figure(text, number), "repeated_figure_id"), (_phrase(text), "explanatory_phrase"), (_body_word(text), "space_body_start"), (F.when(long, _after_stop(text)), "length_guard")]
+        first = F.get(F.filter(F.array(*[F.struct(at.alias("at"), F.lit(why).alias("why")) for at, why in cuts]), lambda c: c["at"].isNotNull()), F.lit(0))
+        return F.struct(first.alias("cut"), text.alias("text"))
+
+    named = X.let(X.compact(raw), lambda t: F.struct(t.alias("text"), F.coalesce(X.figure_number(identifier), X.figure_number(t)).alias("number")))
+    return X.let(X.let(named, cut), _cut)
 
 
 def _cut(x: Column) -> Column:
     at, text = x["cut"]["at"], x["text"]
-    rest = F.trim(F.substring(text, at + 1, F.length(text)))
-    following = X.complete_sentences(rest)
-    refs = F.when(at.isNull() | (rest == ""), F.array().cast("array<string>")).when(F.size(following) == 0, F.array(rest)).otherwise(following)
-    return F.struct(F.when(at.isNull(), text).otherwise(F.trim(F.left(text, at))).alias("caption"), refs.alias("refs"), x["cut"]["why"].alias("reason"))
+
+    def following(rest: Column) -> Column:
+        own = X.let(X.complete_sentences(rest), lambda f: F.when(F.size(f) == 0, F.array(rest)).otherwise(f))
+        return F.when(rest == "", F.array().cast("array<string>")).otherwise(own)
+
+    rest = F.when(at.isNull(), "").otherwise(F.trim(F.substring(text, at + 1, F.length(text))))
+    return F.struct(F.when(at.isNull(), text).otherwise(F.trim(F.left(text, at))).alias("caption"), X.let(rest, following).alias("refs"), x["cut"]["why"].alias("reason"))
 
 
 def segments(raw: Column) -> Column:
     """A caption with several figure ids, cut before each id but the first; empty pieces dropped."""
-    text = X.compact(raw)
-    parts = F.split(text, rf"(?=(?iU:图\s*\d|Fig\.?\s*S?\d|Figure\s*S?\d))", -1)
-    # what stands before the first id belongs to it
-    lead = ~F.element_at(parts, 1).rlike(X.ANY_ID) & (F.size(parts) > 1)
-    joined = F.when(lead, F.concat(F.array(F.concat(F.element_at(parts, 1), F.element_at(parts, 2))), F.slice(parts, 3, F.size(parts)))).otherwise(parts)
-    return F.filter(F.transform(joined, X.compact), lambda s: s != "")
+
+    def joined(parts: Column) -> Column:
+        # what stands before the first id belongs to it
+        lead = ~F.get(parts, F.lit(0)).rlike(X.ANY_ID) & (F.size(parts) > 1)
+        return F.when(lead, F.concat(F.array(F.concat(F.get(parts, F.lit(0)), F.get(parts, F.lit(1)))), F.slice(parts, 3, F.size(parts)))).otherwise(parts)
+
+    parts = F.split(X.compact(raw), r"(?=(?iU:图\s*\d|Fig\.?\s*S?\d|Figure\s*S?\d))", -1)
+    return F.filter(F.transform(X.let(parts, joined), X.compact), lambda s: s != "")
 
 
 def clean_references(sentences: Column, identifier: Column) -> Column:
     """The first three sentences that are not another figure's caption or a bare mention of it."""
 
     def own(s: Column) -> Column:
-        found = X.figure_id(s)
-        other = found["id"].isNotNull() & ~found["id"].eqNullSafe(identifier)
+        other = X.let(X.figure_id(s)["id"], lambda i: i.isNotNull() & ~i.eqNullSafe(identifier))
         return ~(other & (s.rlike(X.CAPTION_START) | ~s.rlike(X.BODY_REFERENCE)))
 
     return F.slice(X.distinct_texts(F.filter(F.transform(sentences, X.compact), own)), 1, 3)
@@ -153,11 +160,15 @@ def caption_segments(raw: Column) -> Column:
     """Array of segments: figure id, caption, references, sub-figure labels and why it was cut."""
 
     def build(text: Column) -> Column:
-        name = X.figure_id(text)
-        d = caption_details(text, F.coalesce(name["id"], name["raw"]))
-        caption = X.blank_to_null(d["caption"])
-        values = (name["id"], name["raw"], caption, clean_references(d["refs"], name["id"]), X.labels(F.coalesce(caption, text)), F.when(caption.isNotNull(), "standard_caption").otherwise("none"), text, d["reason"].isNotNull(), d["reason"])
-        return F.struct(*[v.alias(k) for k, v in zip(SEGMENT, values, strict=True)])
+        def cut(name: Column) -> Column:
+            return F.struct(name.alias("name"), caption_details(text, F.coalesce(name["id"], name["raw"])).alias("d"))
+
+        def row(x: Column) -> Column:
+            name, d, caption = x["name"], x["d"], X.blank_to_null(x["d"]["caption"])
+            values = (name["id"], name["raw"], caption, clean_references(d["refs"], name["id"]), X.labels(F.coalesce(caption, text)), F.when(caption.isNotNull(), "standard_caption").otherwise("none"), text, d["reason"].isNotNull(), d["reason"])
+            return F.struct(*[v.alias(k) for k, v in zip(SEGMENT, values, strict=True)])
+
+        return X.let(X.let(X.figure_id(text), cut), row)
 
     return F.transform(segments(raw), build)
 
@@ -176,19 +187,26 @@ def assignment(parts: Column, size: Column, index: Column) -> Column:
         row = F.struct(acc["at"].alias("lo"), (acc["at"] + n).alias("hi"), n.alias("n"), F.size(acc["out"]).alias("k"))
         return F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(row)).alias("out"), (acc["odd"] | (n != wanted)).alias("odd"))
 
-    dealt = F.aggregate(parts, state, step)
-    single = F.size(parts) == 1
-    own = F.when(~single, F.get(F.filter(dealt["out"], lambda r: (r["lo"] < index) & (index <= r["hi"])), F.lit(0)))
-    left_over = ~single & own.isNull()
-    k = F.when(single, F.lit(0)).when(left_over, F.size(parts) - 1).otherwise(own["k"])
-    images = F.when(single, size).when(left_over, size - dealt["at"]).otherwise(own["n"])
-    place = F.when(single, index).when(left_over, index - dealt["at"]).otherwise(index - own["lo"])
-    seg = F.get(parts, k)
-    named = (F.size(seg["labels"]) == images) & ~left_over
-    odd = ~single & (dealt["odd"] | (dealt["at"] < size))
-    fields = {name: seg[name] for name in SEGMENT}
-    fields["cleaned"] = F.when(odd, True).otherwise(seg["cleaned"])
-    fields["reason"] = F.when(odd, "multiple_figure_ids_caption_assignment_uncertain").otherwise(seg["reason"])
-    fields["subfigure_index"] = F.when(images > 1, place)
-    fields["subfigure_label"] = F.when(named, F.get(seg["labels"], place - 1))
-    return F.when(F.size(parts) > 0, F.struct(*[v.alias(n) for n, v in fields.items()]))
+    def place(p: Column) -> Column:
+        single = F.size(p) == 1
+
+        def of(d: Column) -> Column:
+            own = F.get(F.filter(d["out"], lambda r: (r["lo"] < index) & (index <= r["hi"])), F.lit(0))
+            odd = d["odd"] | (d["at"] < size)
+            rest = F.struct((F.size(p) - 1).alias("k"), (size - d["at"]).alias("n"), (index - d["at"]).alias("i"), F.lit(True).alias("rest"), F.lit(True).alias("odd"))
+            return X.let(own, lambda r: F.when(r.isNull(), rest).otherwise(F.struct(r["k"].alias("k"), r["n"].alias("n"), (index - r["lo"]).alias("i"), F.lit(False).alias("rest"), odd.alias("odd"))))
+
+        whole = F.struct(F.lit(0).alias("k"), size.alias("n"), index.alias("i"), F.lit(False).alias("rest"), F.lit(False).alias("odd"))
+        at = F.when(single, whole).otherwise(X.let(F.aggregate(p, state, step), of))
+        return X.let(at, lambda a: F.struct(a.alias("a"), F.get(p, a["k"]).alias("seg")))
+
+    def fill(x: Column) -> Column:
+        a, seg = x["a"], x["seg"]
+        fields = {name: seg[name] for name in SEGMENT}
+        fields["cleaned"] = a["odd"] | seg["cleaned"]
+        fields["reason"] = F.when(a["odd"], "multiple_figure_ids_caption_assignment_uncertain").otherwise(seg["reason"])
+        fields["subfigure_index"] = F.when(a["n"] > 1, a["i"])
+        fields["subfigure_label"] = F.when((F.size(seg["labels"]) == a["n"]) & ~a["rest"], F.get(seg["labels"], a["i"] - 1))
+        return F.struct(*[v.alias(n) for n, v in fields.items()])
+
+    return F.when(F.size(parts) > 0, X.let(X.let(parts, place), fill))

@@ -67,22 +67,24 @@ def image_tokens(papers: DataFrame) -> DataFrame:
 
 def is_soft_gap(gap: Column) -> Column:
     """Whether two images belong together: nothing, or a short label without a caption, heading or sentence, between."""
-    g = X.compact(gap)
-    soft = (F.length(g) <= GAP) & ~g.rlike(X.CAPTION_START) & ~g.rlike(X.HEADING) & ~g.rlike(f"[{X.ENDS}]") & g.rlike(r"(?U)^[\w\s/\-+&:：,，()（）]+$")
-    return (g == "") | soft
+
+    def soft(g: Column) -> Column:
+        label = (F.length(g) <= GAP) & ~g.rlike(X.CAPTION_START) & ~g.rlike(X.HEADING) & ~g.rlike(f"[{X.ENDS}]") & g.rlike(r"(?U)^[\w\s/\-+&:：,，()（）]+$")
+        return (g == "") | label
+
+    return X.let(X.compact(gap), soft)
 
 
 def short_label(text: Column) -> Column:
     """The first short line without sentence marks, unless a caption or heading comes before it."""
     state = F.struct(F.lit(False).alias("done"), F.lit(None).cast("string").alias("out"))
 
-    def step(acc: Column, raw: Column) -> Column:
-        line = X.compact(raw)
+    def step(acc: Column, line: Column) -> Column:
         wall = line.rlike(X.CAPTION_START) | line.rlike(X.HEADING)
         good = (line != "") & (F.length(line) <= LABEL) & ~line.rlike(f"[{X.ENDS}]")
         return F.struct((acc["done"] | wall | good).alias("done"), F.when(~acc["done"] & ~wall & good, line).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(X.lines(text), state, step)["out"]
+    return F.aggregate(F.transform(X.lines(text), X.compact), state, step)["out"]
 
 
 def image_groups(tokens: DataFrame) -> DataFrame:

@@ -33,9 +33,8 @@ def cleaned(sentence: Column, identifier: Column) -> Column:
     """The sentence without leading leftovers; null if it holds junk, is too short or no longer mentions the figure."""
     s = X.compact(F.regexp_replace(X.compact(sentence), r"(?i)^(?:json|csv)\)\s*", ""))
     s = X.compact(F.regexp_replace(s, r"^(?:[A-Za-z]:[\\/]|/|\\)\S+\s*", ""))
-    junk = s.rlike(JUNK)
-    s = X.compact(F.regexp_replace(s, r"(?i)\b(?:json|csv)\)\b", " "))
-    return F.when(~junk & (F.length(s) >= X.LEAST_SENTENCE) & X.mentions(s, identifier), s)
+    kept = X.let(s, lambda x: F.when(~x.rlike(JUNK), X.compact(F.regexp_replace(x, r"(?i)\b(?:json|csv)\)\b", " "))))
+    return X.let(kept, lambda x: F.when((F.length(x) >= X.LEAST_SENTENCE) & X.mentions(x, identifier), x))
 
 
 def score(sentence: Column, position: Column, start: Column, caption_tokens: Column) -> Column:

@@ -22,7 +22,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id").cast("string")
     phrase, chinese = (F.element_at(F.array(*map(F.lit, words)), (F.col("doc_id") % len(words) + 1).cast("int")) for words in (PHRASES, CHINESE))
     parts = (
-        "# Part ", (F.col("doc_id") % 7).cast("string"), "\n", F.coalesce("text", F.lit("")),
+        "# Part ", (F.col("doc_id") % 7).cast("string"), "\n", F.coalesce("text", F.lit("")), "!",
         "\n\n![](images/", d, "_1.png)\nFig. 1 ", phrase, "\n\nAs shown in Fig. 1, the trend is clear; see the text. ",
         "The value in Fig. 12 differs.\n\n## Results\n\n![](images/", d, "_2.png)\n![](images/", d, "_3.png)\n图2 ", chinese,
         "(A)(B)\n\n由图2可知结果是好的。\n\n![logo](https://example.org/", d, ".png)\n\nClosing words $\\alpha$ - Al_{2}O_{3}, 5 \\mu m.\n\n",
@@ -40,7 +40,7 @@ def papers_sql() -> str:
 
     return f"""
 SELECT doc_id, paper_id, phrase, chinese, concat(
-  '# Part ', (doc_id % 7)::VARCHAR, chr(10), coalesce(text, ''), chr(10), chr(10),
+  '# Part ', (doc_id % 7)::VARCHAR, chr(10), coalesce(text, ''), '!', chr(10), chr(10),
   '![](images/', paper_id, '_1.png)', chr(10), 'Fig. 1 ', phrase, chr(10), chr(10),
   'As shown in Fig. 1, the trend is clear; see the text. The value in Fig. 12 differs.', chr(10), chr(10),
   '## Results', chr(10), chr(10), '![](images/', paper_id, '_2.png)', chr(10), '![](images/', paper_id, '_3.png)', chr(10),
