@@ -97,7 +97,7 @@ def sketches(sets: list[np.ndarray], size: int = COORDINATES) -> np.ndarray:
     n = len(sets)
     out = np.full((n, size), np.iinfo(np.uint64).max, np.uint64)
     flat = out.reshape(-1)
-    lengths = np.array([len(s) for s in sets])
+    lengths = np.array([len(s) for s in sets], np.int64)
     items = np.concatenate(sets) if n else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(n), lengths)
     empty = np.ones(n * size, bool)
