@@ -13,7 +13,7 @@ def one(spark, column, **values):
 def test_chemistry_line(spark):
     raw = r"关键词 $\alpha - \mathrm { A l } _ { 2 } \mathrm { O } _ { 3 }$ ；柔性纤维"
     assert one(spark, normalize_chemistry(F.col("t")), t=raw) == "关键词 α-Al2O3 ；柔性纤维"
-    assert one(spark, normalize_chemistry(F.col("t")), t="![a_b](x_1,y.png) H _2 O") == "![a_b](x_1,y.png) H2 O"
+    assert one(spark, normalize_chemistry(F.col("t")), t="![a_b](x_1,y.png) H_2O") == "![a_b](x_1,y.png) H2O"
     assert one(spark, normalize_chemistry(F.col("t"), True), t="Al2O3") == "Al₂O₃"
 
 
@@ -26,8 +26,8 @@ def test_sentences(spark):
 
 
 def test_offsets_are_code_points(spark):
-    got = one(spark, X.matches(F.col("t"), X.IMAGE), t="😀 a ![x](y.png) b ![](z)")
-    assert [(r["s"], r["e"]) for r in got] == [(4, 15), (18, 24)]
+    got = one(spark, X.matches(F.col("t"), X.IMAGE), t="😀 a ![x](y.png)\n b ![](z)")
+    assert [(r["s"], r["e"]) for r in got] == [(4, 15), (19, 25)]
     assert one(spark, X.masked(F.col("t"), X.IMAGE), t="a![x](y)b") == "a" + " " * 7 + "b"
 
 
@@ -47,7 +47,8 @@ def test_caption_cuts(spark):
 
     assert cut("Fig. 1 XRD pattern")["reason"] is None
     d = cut("图2.1 样品的TG曲线 由图2.1可知样品在加热时失重明显。")
-    assert d["caption"] == "图2.1 样品的TG曲线" and d["refs"] == ["由图2.1可知样品在加热时失重明显。"] and d["reason"] == "explanatory_phrase"
+    assert d["caption"] == "图2.1 样品的TG曲线" and d["refs"] == ["由图2.1可知样品在加热时失重明显。"] and d["reason"] == "repeated_figure_id"
+    assert cut("图2.1 样品的TG曲线 表明样品稳定")["reason"] == "explanatory_phrase"
     assert cut("图2.1 甲 图2.2 乙")["reason"] == "multiple_figure_ids_in_caption"
     assert cut("图2.1 甲, 0.5 wt%")["caption"] == "图2.1 甲"  # a decimal after a comma cuts, as a shorthand would
     d = cut("Fig. 1 sample Fig. 1 shows the trend of it.")
