@@ -14,19 +14,24 @@ from pyspark.sql import functions as F
 from plinth.llm.common import SPACE_RUN, saved, shared_dir, table
 from plinth.llm.conflict_packing import pack_documents
 from plinth.llm.exact_dedup import exact_dedup
-from plinth.llm.language_id import language_id
+from plinth.llm.language_id import with_language
 from plinth.llm.mixing import repeated_documents
 from plinth.llm.near_dedup import near_dedup
 
 
 def _staying(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs whose doc_id is in ids (doc_id, null too), with the columns of docs."""
-    wanted = saved(ids.select(F.col("doc_id").alias("wanted")).distinct())
+    """The rows of docs whose doc_id is in ids (doc_id, null too), with the columns of docs.
+
+    Always by a shuffle: ids grow with the documents, so there is no size at which they may be broadcast.
+    """
+    wanted = saved(ids.select(F.col("doc_id").alias("wanted")).distinct()).hint("merge")
     return docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(F.col("wanted")), "left_semi")
 
 
 def _one_row(docs: DataFrame) -> DataFrame:
     """One row for each (doc_id, text): which of its repeated rows stays is settled by their other columns."""
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return docs
     others = [F.col(c) for c in docs.columns if c not in ("doc_id", "text")]
     digest = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE_RUN, " "), 256)
     rank = F.row_number().over(Window.partitionBy("doc_id", digest).orderBy(F.hash(*others) if others else F.lit(0)))
@@ -36,11 +41,11 @@ def _one_row(docs: DataFrame) -> DataFrame:
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without any letter (``und``); every other language stays."""
-    return _staying(docs, language_id(docs).filter("lang_pred != 'und'"))
+    return with_language(docs, lang="plinth_lang", score="plinth_score").filter("plinth_lang != 'und'").select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _one_row(_staying(docs, exact_dedup(docs).filter("kept")))
+    return _staying(_one_row(docs), exact_dedup(docs).filter("kept"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,6 +15,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from plinth.llm.common import held, unit_hash
 
@@ -153,15 +154,14 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> pd.Dat
     return sample.toPandas().sort_values(["lang", "passage"], ignore_index=True)
 
 
-def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
-    """doc_id, held_out, lang_pred, score: one row per row of docs.
+def with_language(docs: DataFrame, per_language: int = PER_LANGUAGE, lang: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All columns of docs, with the predicted language and its score: no row moves.
 
-    lang_pred is ``und`` with score 0 if the text is null or has no letter, and for all rows if no row has a
-    language to learn from. A null doc_id is not held out, nor learnt from. An empty table gives no rows.
-    Columns other than doc_id, text and lang are ignored; repeated rows give equal rows.
+    A column of docs by either name is replaced. See language_id for what odd rows get.
     """
     sample = training_sample(docs, per_language)
     net = train(sample["passage"].tolist(), sample["lang"].tolist())
+    kept = [c for c in docs.columns if c not in (lang, score)]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,10 +174,21 @@ def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
                 while stop < len(known) and (stop == start or size < 1 << 21):
                     size += len(texts[known[stop]])
                     stop += 1
-                for i, lang, score in zip(known[start:stop], *net.predict([texts[i] for i in known[start:stop]]), strict=True):
-                    langs[i], scores[i] = lang, min(1.0, score)
+                for i, name, p in zip(known[start:stop], *net.predict([texts[i] for i in known[start:stop]]), strict=True):
+                    langs[i], scores[i] = name, min(1.0, p)
                 start = stop
-            yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "held_out": batch["held_out"], "lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())})
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*kept, lang, score])
+
+    schema = StructType([docs.schema[c] for c in kept] + [StructField(lang, StringType()), StructField(score, DoubleType())])
+    return docs.select(*kept).mapInArrow(apply, schema)
+
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held(F.col("doc_id"), 4, 2).alias("held_out"), "text")
-    return rows.mapInArrow(apply, "doc_id long, held_out boolean, lang_pred string, score double")
+def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
+    """doc_id, held_out, lang_pred, score: one row per row of docs.
+
+    lang_pred is ``und`` with score 0 if the text is null or has no letter, and for all rows if no row has a
+    language to learn from. A null doc_id is not held out, nor learnt from. An empty table gives no rows.
+    Columns other than doc_id, text and lang are ignored; repeated rows give equal rows.
+    """
+    rows = with_language(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"), per_language)
+    return rows.select("doc_id", held(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")

@@ -143,6 +143,7 @@ def repeated_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, extr
     or null are decided together.
     """
     mix = mix_sources(docs, weights, extra, most).groupBy("doc_id").agg(F.max(F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")).alias("again"))
-    copies = saved(mix.filter("again > 0").withColumnRenamed("doc_id", "copied"))
+    # by a shuffle at every size: the copies grow with the documents
+    copies = saved(mix.filter("again > 0").withColumnRenamed("doc_id", "copied")).hint("merge")
     joined = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("copied")), "left")
     return joined.withColumn("copied", F.explode(F.sequence(F.lit(0), F.coalesce("again", F.lit(0))))).select(*[docs[c] for c in docs.columns])

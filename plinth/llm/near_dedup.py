@@ -264,7 +264,7 @@ def class_links(classes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFr
     shared = saved(sizes.filter("n > 1"))
     members = saved(bands.join(shared, ["band", "key"]))
     nodes = saved(members.select("doc_id").distinct())
-    own = saved(texts.join(nodes, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    own = saved(texts.join(nodes.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     stars = saved(members.filter("doc_id != pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = saved(verified(stars, own))
     joined = components(nodes, links)
