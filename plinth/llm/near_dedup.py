@@ -212,15 +212,16 @@ class Forest:
         return a != b
 
 
-def _pairs_within(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a small bucket that are not joined yet and whose sizes let them be linked."""
-    ids, sizes, roots = (members[c].tolist() for c in ("doc_id", "n_shingles", "component"))
-    out = [
-        (min(ids[i], ids[j]), max(ids[i], ids[j]))
-        for i in range(len(ids)) for j in range(i)
-        if roots[i] != roots[j] and 100 * min(sizes[i], sizes[j]) >= PERCENT * max(sizes[i], sizes[j])
-    ]
-    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+def _pairs_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of each small bucket that are not joined yet and whose sizes let them be linked."""
+    for batch in batches:
+        found: set[tuple[int, int]] = set()
+        for members in batch["members"].to_pylist():
+            rows = [(m["doc_id"], m["n_shingles"], m["component"]) for m in members]
+            for i, (x, n, root) in enumerate(rows):
+                found.update((min(x, y), max(x, y)) for y, k, other in rows[:i] if other != root and 100 * min(n, k) >= PERCENT * max(n, k))
+        pairs = sorted(found)
+        yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
 
 
 def _blocks(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
@@ -271,7 +272,8 @@ def class_links(classes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFr
     placed = saved(members.join(joined, "doc_id"))
     mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("band", "key")
     placed = saved(placed.join(mixed, ["band", "key"]))
-    small = placed.filter(F.col("n") <= SMALL).groupBy("band", "key").applyInPandas(_pairs_within, "a long, b long").distinct()
+    lists = placed.filter(F.col("n") <= SMALL).groupBy("band", "key").agg(F.collect_list(F.struct("doc_id", "n_shingles", "component")).alias("members"))
+    small = lists.select("members").mapInArrow(_pairs_within, "a long, b long").distinct()
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = verified(saved(small.join(tested, ["a", "b"], "left_anti")), own)
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
