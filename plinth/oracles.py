@@ -96,6 +96,9 @@ ORACLES: dict[str, str] = {
     "context_windows": f"""{FIGURES} SELECT paper_id, position, substr(markdown, greatest(position - 800, 0) + 1, least(position, 800)) AS context_before,
   substr(markdown, position + 1, 800) AS context_after FROM g""",
     "caption_assign": f"{FIGURES} SELECT paper_id, position, figure_id, caption, caption_source, subfigure_index, subfigure_label FROM g",
+    "caption_split": """WITH n AS (SELECT doc_id, doc_id % 4 AS k, (doc_id % 50 + 1)::VARCHAR AS n FROM documents)
+SELECT doc_id, CASE k WHEN 0 THEN concat('Fig. ', n, ' curve of the sol') WHEN 1 THEN concat('Fig. ', n, ' curve of the sol see') ELSE concat('图', n, ' 溶胶曲线') END AS caption,
+  CASE k WHEN 1 THEN 'multiple_figure_ids_in_caption' WHEN 2 THEN 'explanatory_phrase' WHEN 3 THEN 'repeated_figure_id' END AS reason FROM n""",
     "reference_topk": f"{FIGURES} SELECT paper_id, position, 1 AS rank, ref AS sentence FROM g",
     "descriptions": f"{FIGURES} SELECT paper_id, position, description AS description_text FROM g",
     "rewritten_paths": f"""WITH p AS ({papers_sql()}) SELECT paper_id, sha256(replace(markdown, concat('](images/', paper_id, '_1.png)'), concat('](/figures/', paper_id, '/a.png)'))) AS markdown_sha256 FROM p""",
@@ -128,6 +131,8 @@ SELECT doc_id, len(list_filter(regexp_split_to_array(t, '[。；;？！!?.]')[:-
   CASE k WHEN 0 THEN n_nationkey::VARCHAR ELSE n_name END AS value
 FROM (SELECT *, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1)::INT AS row_idx FROM nation), (SELECT unnest([0, 1]) AS k)""",
     "table_shapes": f"WITH p AS ({papers_sql()}) SELECT paper_id, 'table_001' AS table_id, (instr(markdown, '<table>') - 1)::INT AS position, 1 AS rows, 2 AS columns, 'Table 1 counts' AS caption FROM p",
+    "table_captions": """SELECT n_nationkey::VARCHAR AS paper_id, CASE n_nationkey % 3 WHEN 0 THEN concat('表', n_nationkey::VARCHAR, ' 组成')
+  WHEN 1 THEN concat('Table ', n_nationkey::VARCHAR, ' sizes') ELSE '' END AS caption FROM nation""",
     "replaced_tables": f"""WITH p AS ({papers_sql()}) SELECT paper_id, sha256(regexp_replace(markdown, '<table>.*</table>', concat(chr(10), chr(10), '[TableID: table_001]', chr(10), chr(10),
   '| id | chars |', chr(10), '| --- | --- |', chr(10), '| ', paper_id, ' | ', n_chars::VARCHAR, ' |', chr(10), chr(10), 'CSV: [table_001.csv](tables/table_001.csv)', chr(10), chr(10),
   'JSON: [table_001.json](tables/table_001.json)', chr(10), chr(10)))) AS markdown_sha256 FROM p JOIN documents USING (doc_id)""",
@@ -140,6 +145,9 @@ SELECT l_orderkey::VARCHAR AS paper_id, n, bad AS n_abnormal,
   CASE WHEN n = 1 AND bad = 1 THEN 'possible_fragment_single_image'
        WHEN NOT (n >= 3 AND (bad >= greatest(2, n // 2) OR (n >= 4 AND (w1 - w0)::DOUBLE / w1 <= 0.12 AND (h1 - h0)::DOUBLE / h1 <= 0.35 AND h1 < 260))) THEN 'none'
        WHEN places < n THEN 'bbox_overlap_abnormal' END AS reason FROM s""",
+    "merge_confidence": """WITH r AS (SELECT l_orderkey, 600 + l_linenumber AS w, (l_quantity * 10)::INT AS h FROM lineitem),
+s AS (SELECT l_orderkey, count(*) AS n, count_if(w::DOUBLE / greatest(h, 1) > 3 OR h < 180) AS bad FROM r GROUP BY 1)
+SELECT l_orderkey::VARCHAR AS paper_id, least(round(0.45::DOUBLE + least(n, 6) * 0.05::DOUBLE + bad * 0.3::DOUBLE / n + 0.15::DOUBLE, 3), 0.99::DOUBLE) AS confidence FROM s""",
     "union_bbox": """SELECT l_orderkey::VARCHAR AS paper_id, min(l_linenumber * 10.0)::DOUBLE AS x0, min(l_linenumber * 5.0)::DOUBLE AS y0,
   max(l_linenumber * 10.0 + 10)::DOUBLE AS x1, max(l_linenumber * 5.0 + 5)::DOUBLE AS y1 FROM lineitem GROUP BY 1""",
     "bbox_overlap": """WITH b AS (SELECT l_orderkey AS o, row_number() OVER () AS i, l_quantity AS x0, l_quantity + 10 AS x1 FROM lineitem)

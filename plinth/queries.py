@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plinth.functions import models, taxonomy
 from plinth.functions import text as X
 from plinth.functions.chemistry import normalize_chemistry
+from plinth.operators import captions as P
 from plinth.operators import classify as C
 from plinth.operators import figures as G
 from plinth.operators import fragments as H
@@ -61,6 +62,18 @@ def caption_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.figure_rows(_papers(spark, sf_dir)).select("paper_id", "position", "figure_id", "caption", "caption_source", "subfigure_index", "subfigure_label")
 
 
+def caption_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captions that run on in four ways: not at all, into another figure, into a phrase, into a repeated id."""
+    n = (F.col("doc_id") % 50 + 1).cast("string")
+    made = (
+        F.concat(F.lit("Fig. "), n, F.lit(" curve of the sol")), F.concat(F.lit("Fig. "), n, F.lit(" curve of the sol see Fig. 99 shows more")),
+        F.concat(F.lit("图"), n, F.lit(" 溶胶曲线 结果表明样品良好。")), F.concat(F.lit("图"), n, F.lit(" 溶胶曲线图"), n, F.lit("显示黏度下降。")),
+    )
+    rows = _table(spark, sf_dir, "documents").select("doc_id", F.element_at(F.array(*made), (F.col("doc_id") % 4 + 1).cast("int")).alias("raw"))
+    rows = rows.select("doc_id", P.caption_details(F.col("raw"), X.figure_id(F.col("raw"))["id"]).alias("d"))
+    return rows.select("doc_id", "d.caption", "d.reason")
+
+
 def reference_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _papers(spark, sf_dir)
     found = L.references(G.figure_rows(p), L.sentences(p))
@@ -153,6 +166,14 @@ def table_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return B.table_info(_papers(spark, sf_dir)).select("paper_id", "table_id", "position", "rows", "columns", "caption")
 
 
+def table_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A caption line before a table, one after it, or none."""
+    n, t = F.col("n_nationkey").cast("string"), "<table><tr><th>a</th></tr><tr><td>1</td></tr></table>\n"
+    made = F.array(F.concat(F.lit("表"), n, F.lit(f" 组成\n{t}")), F.concat(F.lit(f"Words.\n{t}Table "), n, F.lit(" sizes\n")), F.lit(f"Words.\n{t}"))
+    rows = _table(spark, sf_dir, "nation").select(n.alias("paper_id"), F.element_at(made, (F.col("n_nationkey") % 3 + 1).cast("int")).alias("markdown"))
+    return B.table_info(rows).select("paper_id", "caption")
+
+
 def replaced_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _papers(spark, sf_dir)
     return B.replaced_tables(p, B.table_info(p)).select("paper_id", F.sha2("markdown", 256).alias("markdown_sha256"))
@@ -189,6 +210,10 @@ def fragment_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.group_stats(_strips(spark, sf_dir)).select("paper_id", "n", "n_abnormal", "reason")
 
 
+def merge_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return H.group_stats(_strips(spark, sf_dir)).select("paper_id", "confidence")
+
+
 def union_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = H.group_stats(_strips(spark, sf_dir)).select("paper_id", "bbox")
     return box.select("paper_id", *[F.get("bbox", F.lit(i)).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))])
@@ -220,10 +245,10 @@ def safe_data_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        image_tokens, image_groups, section_asof, context_windows, caption_assign, reference_topk, descriptions, rewritten_paths,
+        image_tokens, image_groups, section_asof, context_windows, caption_assign, caption_split, reference_topk, descriptions, rewritten_paths,
         keyword_hits, classify, vision_select, review_reasons, false_candidates, review_candidates, class_histogram,
         merge_mode_counts, stage_summary, sentence_counts, compact_documents, dedupe_by_hash, token_counts, chem_normalize,
-        subfigure_labels, html_table_cells, table_shapes, replaced_tables, layout_records, layout_join, fragment_groups,
-        union_bbox, bbox_overlap, clip_decision, base64_checks, safe_data_ids,
+        subfigure_labels, html_table_cells, table_shapes, table_captions, replaced_tables, layout_records, layout_join, fragment_groups,
+        union_bbox, merge_confidence, bbox_overlap, clip_decision, base64_checks, safe_data_ids,
     )
 }

@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001"
 #: One query of each family; the driver compares them all.
 CHECKED = (
     "image_groups", "section_asof", "vision_select", "sentence_counts", "compact_documents", "token_counts", "chem_normalize", "html_table_cells",
-    "replaced_tables", "layout_records", "layout_join", "fragment_groups", "union_bbox", "bbox_overlap", "clip_decision", "base64_checks", "safe_data_ids",
+    "caption_split", "table_captions", "merge_confidence", "replaced_tables", "layout_records", "layout_join", "fragment_groups", "union_bbox", "bbox_overlap", "clip_decision", "base64_checks", "safe_data_ids",
 )
 
 
