@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions import text as X
@@ -44,27 +44,37 @@ def score(sentence: Column, position: Column, start: Column, caption_tokens: Col
     return F.lit(5.0) + cue + shared + F.when(distance < NEAR, 1.0).when(distance < FAR, 0.5).otherwise(0.0)
 
 
-def references(figures: DataFrame, found: DataFrame) -> DataFrame:
-    """paper_id, position, is_merged_figure, refs: the TOP sentences of each figure, best first, ties in text order."""
-    named = figures.select("paper_id", "position", "is_merged_figure", "figure_id", "caption", F.lower(X.figure_number(F.col("figure_id"))).alias("number")).filter("number is not null and not startswith(figure_id, 'Unknown Figure')")
-    mentioned = found.withColumn("numbers", X.mentioned_numbers(F.col("sentence"))).withColumn("number", F.explode("numbers"))
-    pairs = named.join(mentioned, ["paper_id", "number"]).filter(X.mentions(F.col("sentence"), F.col("figure_id")))
-    pairs = pairs.withColumn("clean", cleaned(F.col("sentence"), F.col("figure_id"))).filter("clean is not null")
-    others = F.size(F.array_except(X.mentioned_numbers(F.col("clean")), X.mentioned_numbers(F.col("figure_id")))) > 0
-    pairs = pairs.withColumn("score", score(F.col("clean"), F.col("position"), F.col("start"), X.tokens(F.col("caption"))) - F.when(others, 2.5).otherwise(0.0))
-    key = ("paper_id", "position", "is_merged_figure")
-    best = pairs.groupBy(*key, "clean").agg(F.min(F.struct((-F.col("score")).alias("s"), "sent_idx")).alias("b"))
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy("b.s", "b.sent_idx"))
-    top = best.withColumn("rank", rank).filter(F.col("rank") <= TOP)
-    return top.groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "clean"))), lambda x: x["clean"]).alias("refs"))
+def with_references(figures: DataFrame, found: DataFrame) -> DataFrame:
+    """figures with refs: the TOP sentences of each figure, best first, ties in text order; empty without any.
+
+    Sentences that mention a number are gathered per paper and number (a part of one paper's text) before the join,
+    so figures are read and shuffled once, however many sentences mention them.
+    """
+    identifier = F.col("figure_id")
+    unknown = F.coalesce(identifier.startswith("Unknown Figure"), F.lit(True))
+    named = figures.withColumns({"number": F.when(~unknown, F.lower(X.figure_number(identifier))), "own_numbers": X.mentioned_numbers(identifier), "caption_tokens": X.tokens(F.col("caption"))})
+    mentioned = found.withColumn("number", F.explode(X.mentioned_numbers(F.col("sentence"))))
+    gathered = mentioned.groupBy("paper_id", "number").agg(F.collect_list(F.struct("sent_idx", "start", "sentence")).alias("mentions"))
+
+    def scored(m: Column) -> Column:
+        def row(clean: Column) -> Column:
+            others = F.size(F.array_except(X.mentioned_numbers(clean), F.col("own_numbers"))) > 0
+            points = score(clean, F.col("position"), m["start"], F.col("caption_tokens")) - F.when(others, 2.5).otherwise(0.0)
+            return F.when(clean.isNotNull(), F.struct((-points).alias("s"), m["sent_idx"].alias("sent_idx"), clean.alias("clean")))
+
+        return F.when(X.mentions(m["sentence"], identifier), X.let(cleaned(m["sentence"], identifier), row))
+
+    best = F.array_sort(F.array_compact(F.transform("mentions", scored)))
+    refs = F.slice(F.array_distinct(F.transform(best, lambda x: x["clean"])), 1, TOP)
+    rows = named.join(gathered, ["paper_id", "number"], "left")
+    return rows.select(*[F.col(c) for c in figures.columns], F.coalesce(refs, F.array().cast("array<string>")).alias("refs"))
 
 
 def linked(figures: DataFrame, papers: DataFrame) -> DataFrame:
     """Figures with up to three reference sentences (existing ones first) and a description of caption and references."""
-    key = ["paper_id", "position", "is_merged_figure"]
-    rows = figures.join(references(figures, sentences(papers)), key, "left")
+    rows = with_references(figures, sentences(papers))
     old = F.coalesce("reference_sentences", F.array().cast("array<string>"))
-    merged = F.slice(X.distinct_texts(F.concat(old, F.coalesce("refs", F.array().cast("array<string>")))), 1, TOP)
+    merged = F.slice(X.distinct_texts(F.concat(old, F.col("refs"))), 1, TOP)
     rows = rows.withColumn("reference_sentences", F.when(F.size(merged) > 0, merged).otherwise(old))
     some = (F.coalesce("caption", F.lit("")) != "") | (F.size("reference_sentences") > 0)
     new = X.description(F.col("caption"), F.col("reference_sentences"), F.col("figure_id"), F.col("subfigure_label"), always_prefix=True)

@@ -76,7 +76,7 @@ def caption_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reference_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _papers(spark, sf_dir)
-    found = L.references(G.figure_rows(p), L.sentences(p))
+    found = L.with_references(G.figure_rows(p), L.sentences(p))
     return found.select("paper_id", "position", F.posexplode("refs").alias("pos", "sentence")).select("paper_id", "position", (F.col("pos") + 1).alias("rank"), "sentence")
 
 
