@@ -67,7 +67,8 @@ def with_references(figures: DataFrame, found: DataFrame) -> DataFrame:
     best = F.array_sort(F.array_compact(F.transform("mentions", scored)))
     refs = F.slice(F.array_distinct(F.transform(best, lambda x: x["clean"])), 1, TOP)
     rows = named.join(gathered, ["paper_id", "number"], "left")
-    return rows.select(*[F.col(c) for c in figures.columns], F.coalesce(refs, F.array().cast("array<string>")).alias("refs"))
+    # through a generator of one row each, so that no later filter repeats the search
+    return rows.select(*[F.col(c) for c in figures.columns], F.explode(F.array(F.coalesce(refs, F.array().cast("array<string>")))).alias("refs"))
 
 
 def linked(figures: DataFrame, papers: DataFrame) -> DataFrame:
