@@ -23,8 +23,8 @@ PATTERNS = (
     r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     r"\+[0-9][\x20().0-9-]+[0-9]",
 )
-#: What a text must hold for its pattern to be tried at all.
-GATES = ("@", r"[0-9]\.[0-9]++\.[0-9]", r"[0-9][0-9\x20-]{12}[0-9]", r"\+[0-9]")
+#: What a text must hold for its pattern to be tried at all: every valid match of the pattern passes its gate.
+GATES = ("@", r"[0-9]\.[0-9]++\.[0-9]", r"[0-9](?:[\x20-]?+[0-9]){13}", r"\+[0-9]")
 OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9]?)(?<=[0-9])"
 #: Other identifiers, which only a pattern can turn into findings, and the shape that each kind asks of them.
 OTHER = r"[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++|[0-9](?<![A-Za-z0-9@._-][0-9])[0-9A-Za-z._/()-]{5,40}"

@@ -130,6 +130,17 @@ def test_pii_base_equals_brute_force(spark):
         assert [r[f"n_{k}"] for k in pii.KINDS] == [want.count(f"{k}:") for k in pii.KINDS]
 
 
+def test_pii_cards_with_a_separator_after_every_digit(spark):
+    cards = [sep.join(digits) for digits in ("4111111111111111", "4111111111111112", "79927398713000") for sep in (" ", "-")]
+    texts = [f"card {c} here" for c in cards] + ["4 1-1 1-1 1-1 1-1 1-1 1-1 1-1 1", "1 2 3 4 5 6 7 8 9 0 1 2 3", "5-5-5-5555-5-5-5555-5-5-4-4-4"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = rows_of(pii.find_pii(df))
+    for i, text in enumerate(texts):
+        want = base_spans(text)
+        assert rows[i]["spans"] == want and rows[i]["n_card"] == want.count("card:") and rows[i]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest(), text
+    assert rows[0]["n_card"] == rows[1]["n_card"] == 1
+
+
 def test_pii_patterns_find_more(spark):
     texts = [f"please call +1 (743) 555-38{i:02d} today" for i in range(10)] + ["please call 743-555-9911 today", "room 743-555-9911 there"] + [f"seen {i * 37 + 10000}-77 there" for i in range(10)]
     rows = rows_of(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
