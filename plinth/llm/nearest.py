@@ -107,13 +107,22 @@ def _arrays(batch: pa.RecordBatch) -> np.ndarray:
 
 
 def best_of(scores: np.ndarray, ids: np.ndarray, own: int, k: int) -> list[tuple[int, float]]:
-    """The k greatest scores of one query, ties to smaller ids, the query's own row left out; exact on all ties."""
-    if len(scores) > k + 1:
-        floor = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-        keep = np.flatnonzero(scores >= floor)
-        scores, ids = scores[keep], ids[keep]
-    order = np.lexsort((ids, -scores))
-    return [(int(ids[i]), float(scores[i])) for i in order if ids[i] != own][:k]
+    """The k ids of the greatest scores, each id once by its best row, ties to smaller ids, the query's own rows left out."""
+    others = ids != own
+    scores, ids, m = scores[others], ids[others], k
+    while m < len(scores):
+        # the rows down to the m-th greatest score, with all its ties: enough if they hold k different ids
+        keep = np.flatnonzero(scores >= np.partition(scores, len(scores) - m)[len(scores) - m])
+        if len(np.unique(ids[keep])) >= k:
+            scores, ids = scores[keep], ids[keep]
+            break
+        m *= 4
+    best: dict[int, float] = {}
+    for i in np.lexsort((ids, -scores)):
+        best.setdefault(int(ids[i]), float(scores[i]))
+        if len(best) == k:
+            break
+    return list(best.items())
 
 
 def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
@@ -127,8 +136,8 @@ def usable(vectors: DataFrame, column: str = "embedding") -> DataFrame:
 
 
 def _final(found: DataFrame, k: int) -> DataFrame:
-    top = F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
-    hits = found.groupBy("query_id").agg(top.alias("top")).select("query_id", F.posexplode("top").alias("pos", "hit"))
+    top = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
+    hits = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id").agg(top.alias("top")).select("query_id", F.posexplode("top").alias("pos", "hit"))
     return hits.select("query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.s")).alias("score"))
 
 
@@ -161,7 +170,8 @@ def brute_force(vectors: DataFrame, queries: list[tuple[int, list[float]]], k: i
             x, own = _unit(_arrays(batch)), batch["vec_id"].to_numpy()
             scores = q @ x.T
             for r, i in enumerate(ids):
-                best[i] = sorted(best[i] + best_of(scores[r], own, i, k), key=lambda h: (-h[1], h[0]))[:k]
+                hits = best[i] + best_of(scores[r], own, i, k)
+                best[i] = best_of(np.array([s for _, s in hits]), np.array([v for v, _ in hits], np.int64), i, k)
         rows = [(i, v, s) for i, hits in best.items() for v, s in hits]
         yield pa.RecordBatch.from_pydict({"query_id": pa.array([r[0] for r in rows], pa.int64()), "vec_id": pa.array([r[1] for r in rows], pa.int64()), "score": pa.array([r[2] for r in rows], pa.float64())})
 

@@ -100,6 +100,24 @@ def test_nearest_few_ties_and_hot(spark):
     assert nearest.nearest(df.limit(0), F.lit(True)).count() == 0
 
 
+def test_nearest_repeated_rows_count_once(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(40, 6))
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = u @ u[0]
+    s[0] = -9
+    order = np.argsort(-s, kind="stable")
+    want = order[:5].tolist()
+    # six rows of the nearest and of the query itself, and of a neighbour a second, worse vector
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(int(i), x[i].tolist()) for i in (0, want[0]) for _ in range(5)] + [(want[1], (-x[0]).tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = nearest.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r["rank"], r["vec_id"]) for r in got] == list(enumerate(want, 1))
+    np.testing.assert_allclose([r["score"] for r in got], s[want], rtol=1e-12)
+    truth = nearest.brute_force(df.select("vec_id", F.col("embedding").alias("v")).coalesce(1), [(0, x[0].tolist())], 5)
+    assert truth.sort_values("rank").vec_id.tolist() == want
+
+
 # --- 3: personal data ---
 
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
