@@ -2,7 +2,7 @@
 
 Markup is stripped into lines, one per block element, without the elements that never hold an article's text. The
 text lengths of a few neighbouring lines are summed; where these sums surge an article begins and where they dive it
-ends, and the lines between are kept.
+ends, and all lines from the first surge to the last dive are kept.
 """
 
 from __future__ import annotations
@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, SURGE, DIVE = 3, 0.3, 0.02
+#: A line counts as this many characters at most, so one long block does not raise the limits for the others.
+LONG = 100
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>", re.S)
 HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Elements of HTML by what they do here.
@@ -88,31 +90,29 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
 
 
 def between(weights: list[int], window: int = WINDOW, surge: float = SURGE, dive: float = DIVE) -> tuple[int, int]:
-    """First line and end of the best stretch between a surge and a dive of the sums over window lines.
+    """First line and end of the text between the first surge and the last dive of the sums over window lines.
 
-    A surge is where the sums pass `surge` of their maximum; from there the stretch reaches back and on while they
-    stay above `dive` of it. Of several stretches the one with most text counts.
+    A surge is where the sums of the weights (LONG at most) reach `surge` of their maximum. From the first one the
+    text reaches back, and from the last one on, while the sums stay above `dive` of it; what lies between two
+    surges belongs to it whatever it weighs. Lines without weight at its ends do not.
     """
-    n = len(weights)
-    sums = [sum(weights[max(0, i - window // 2) : i + window // 2 + 1]) for i in range(n)]
+    capped = [min(w, LONG) for w in weights]
+    n = len(capped)
+    sums = [sum(capped[max(0, i - window // 2) : i + window // 2 + 1]) for i in range(n)]
     top = max(sums, default=0)
     if not top:
         return 0, 0
-    best, i = (0, 0, 0), 0
-    while i < n:
-        if sums[i] < surge * top:
-            i += 1
-            continue
-        a, b = i, i
-        while a and sums[a - 1] > dive * top and weights[a - 1]:
-            a -= 1
-        while b < n and sums[b] > dive * top:
-            b += 1
-        while b > a and not weights[b - 1]:
-            b -= 1
-        best = max(best, (sum(weights[a:b]), -a, b))
-        i = max(b, i + 1)
-    return -best[1], best[2]
+    surges = [i for i, s in enumerate(sums) if s >= surge * top]
+    a, b = surges[0], surges[-1]
+    while a and sums[a - 1] > dive * top and capped[a - 1]:
+        a -= 1
+    while b < n and sums[b] > dive * top:
+        b += 1
+    while not capped[a]:
+        a += 1
+    while not capped[b - 1]:
+        b -= 1
+    return a, b
 
 
 def main_text(page: str) -> str:

@@ -245,6 +245,15 @@ def test_html_text():
     assert html_text.main_text("<nav>never closed <article><p>Text</p></article>") == "Text"
 
 
+def test_html_text_keeps_the_whole_article_around_long_blocks_and_link_lists():
+    short = [f"{i} " + "word " * 59 + "end." for i in range(20)]
+    long = "long " * 12_000 + "end."
+    links = [f"link {i}" for i in range(5)]
+    for middle, markup in (([long], f"<p>{long}</p>"), (links, "<ul>" + "".join(f'<li><a href="/{t}">{t}</a></li>' for t in links) + "</ul>")):
+        body = "<div>" + "".join(f"<p>{t}</p>" for t in short) + markup + "".join(f"<p>{t}</p>" for t in short[:7]) + "</div>"
+        assert html_text.main_text(PAGE % body) == " ".join([*short, *middle, *short[:7]])
+
+
 def test_html_query(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "v", "<article>é<script>", "x"), (3, "v", "<article>é<script>", "x")], "page_id long, url string, html string, text string")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_text(pages).collect()) == [(1, "", 0), (2, "", 0), (3, "é", 1), (3, "é", 1)]
