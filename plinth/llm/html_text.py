@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 WINDOW, SURGE, DIVE = 3, 0.3, 0.02
 #: A line counts as this many characters at most, so one long block does not raise the limits for the others.
 LONG = 100
+#: What a line inside an <article> weighs at least.
+MARKED = 4
 TOKEN = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>", re.S)
 HINT = re.compile(r"\b(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 # Elements of HTML by what they do here.
@@ -116,13 +118,12 @@ def between(weights: list[int], window: int = WINDOW, surge: float = SURGE, dive
 
 
 def main_text(page: str) -> str:
+    """The text between surge and dive; where markup names articles, lines outside weigh nothing and are left out."""
     found = lines(page)
-    if articles := [(text, max(1, weight)) for text, weight, inside in found if inside]:
-        # where the markup names the article, lines outside weigh nothing, and any sum above none is a surge
-        a, b = between([weight for _, weight in articles], surge=0, dive=0)
-        return " ".join(text for text, _ in articles[a:b])
-    a, b = between([weight for _, weight, _ in found])
-    return " ".join(text for text, _, _ in found[a:b])
+    marked = any(inside for _, _, inside in found)
+    weights = [plain if not marked else max(MARKED, plain) if inside else 0 for _, plain, inside in found]
+    a, b = between(weights)
+    return " ".join(text for (text, _, _), weight in zip(found[a:b], weights[a:b], strict=True) if weight or not marked)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -254,6 +254,14 @@ def test_html_text_keeps_the_whole_article_around_long_blocks_and_link_lists():
         assert html_text.main_text(PAGE % body) == " ".join([*short, *middle, *short[:7]])
 
 
+def test_html_text_finds_the_stretch_on_pages_with_articles():
+    main = [f"Paragraph {i} of the main text with a number of words in it." for i in range(6)]
+    article = "<article>" + "".join(f"<p>{t}</p>" for t in main) + '<p><a href="/x">A link at its end</a></p></article>'
+    between = "".join(f"<div>{w}</div>" for w in ("one", "two", "three", "four"))
+    page = PAGE % ("<article><p>Card.</p></article>" + between + article + between)
+    assert html_text.main_text(page) == " ".join([*main, "A link at its end"])
+
+
 def test_html_query(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "v", "<article>é<script>", "x"), (3, "v", "<article>é<script>", "x")], "page_id long, url string, html string, text string")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_text(pages).collect()) == [(1, "", 0), (2, "", 0), (3, "é", 1), (3, "é", 1)]
