@@ -18,6 +18,9 @@ from plinth.llm.language_id import with_language
 from plinth.llm.mixing import repeated_documents
 from plinth.llm.near_dedup import near_dedup
 
+#: Documents whose sets of five-word shingles are alike from this percentage on are near copies.
+NEAR_PERCENT = 80
+
 
 def _staying(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of docs whose doc_id is in ids (doc_id, null too), with the columns of docs.
@@ -49,7 +52,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _staying(docs, near_dedup(docs).filter("kept"))
+    return _staying(docs, near_dedup(docs, NEAR_PERCENT).filter("kept"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -157,18 +157,18 @@ def sketch_table(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_sketched, "doc_id long, n_shingles long, words binary, bands array<long>")
 
 
-def _against_pivot(key: tuple, pivot: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+def _against_pivot(key: tuple, pivot: pd.DataFrame, members: pd.DataFrame, percent: int) -> pd.DataFrame:
     found: list[int] = []
     if len(pivot):
         first = shingle_sets(lowered([pivot["text"].iloc[0]]))[0][0]
         for at in range(0, len(members), 64):
             part = members.iloc[at : at + 64]
             sets = shingle_sets(lowered(part["text"].tolist()))[0]
-            found += [i for i, s in zip(part["b"], sets, strict=True) if linked(first, s)]
+            found += [i for i, s in zip(part["b"], sets, strict=True) if linked(first, s, percent)]
     return pd.DataFrame({"a": [key[0]] * len(found), "b": found}).astype("int64")
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) that are linked on full sets.
 
     The members b of one pivot a are dealt into blocks by their hash, and the pivot's text is sent to each block.
@@ -181,7 +181,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
         .join(texts.withColumnRenamed("doc_id", "b"), "b")
     )
-    return left.groupBy("a", "part").cogroup(right.groupBy("a", "part")).applyInPandas(_against_pivot, "a long, b long")
+    return left.groupBy("a", "part").cogroup(right.groupBy("a", "part")).applyInPandas(lambda key, pivot, members: _against_pivot(key, pivot, members, percent), "a long, b long")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -212,19 +212,19 @@ class Forest:
         return a != b
 
 
-def _pairs_within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pairs_within(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of each small bucket that are not joined yet and whose sizes let them be linked."""
     for batch in batches:
         found: set[tuple[int, int]] = set()
         for members in batch["members"].to_pylist():
             rows = [(m["doc_id"], m["n_shingles"], m["component"]) for m in members]
             for i, (x, n, root) in enumerate(rows):
-                found.update((min(x, y), max(x, y)) for y, k, other in rows[:i] if other != root and 100 * min(n, k) >= PERCENT * max(n, k))
+                found.update((min(x, y), max(x, y)) for y, k, other in rows[:i] if other != root and 100 * min(n, k) >= percent * max(n, k))
         pairs = sorted(found)
         yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
 
 
-def _blocks(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
+def _blocks(key: tuple, members: pd.DataFrame, percent: int) -> pd.DataFrame:
     """A forest of the links between two blocks of a large bucket, by products of membership matrices."""
     first, second = key[1], key[2]
     members = members.sort_values(["block", "doc_id"])
@@ -245,7 +245,7 @@ def _blocks(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
         x = np.zeros((len(sets), 4096), np.float32)
         x[rows[a:b], cols[a:b] - lo] = 1
         both += x @ x.T
-    hit = 100 * both >= PERCENT * (sizes[:, None] + sizes[None, :] - both)
+    hit = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
     block = members["block"].to_numpy()
     forest, out = Forest(), []
     for i in range(len(ids)):
@@ -255,7 +255,7 @@ def _blocks(key: tuple, members: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def class_links(classes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+def class_links(classes: DataFrame, texts: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Nodes with a candidate partner, and links whose components are those of all links between candidates.
 
     classes: doc_id, n_shingles, bands of one document for each set; texts: doc_id, text of the same documents.
@@ -267,24 +267,24 @@ def class_links(classes: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFr
     nodes = saved(members.select("doc_id").distinct())
     own = saved(texts.join(nodes.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     stars = saved(members.filter("doc_id != pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
-    links = saved(verified(stars, own))
+    links = saved(verified(stars, own, percent))
     joined = components(nodes, links)
     placed = saved(members.join(joined, "doc_id"))
     mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("band", "key")
     placed = saved(placed.join(mixed, ["band", "key"]))
     lists = placed.filter(F.col("n") <= SMALL).groupBy("band", "key").agg(F.collect_list(F.struct("doc_id", "n_shingles", "component")).alias("members"))
-    small = lists.select("members").mapInArrow(_pairs_within, "a long, b long").distinct()
+    small = lists.select("members").mapInArrow(lambda batches: _pairs_within(batches, percent), "a long, b long").distinct()
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = verified(saved(small.join(tested, ["a", "b"], "left_anti")), own)
+    more = verified(saved(small.join(tested, ["a", "b"], "left_anti")), own, percent)
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
     large = placed.filter(F.col("n") > SMALL).withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     tiles = large.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component")
-    rest = tiles.join(own, "doc_id").groupBy(F.concat_ws(":", "band", "key").alias("bucket"), "i", "j").applyInPandas(_blocks, "a long, b long")
+    rest = tiles.join(own, "doc_id").groupBy(F.concat_ws(":", "band", "key").alias("bucket"), "i", "j").applyInPandas(lambda key, members: _blocks(key, members, percent), "a long, b long")
     return nodes, links.unionByName(more).unionByName(rest).distinct()
 
 
-def near_dedup(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of docs.
+def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of docs; texts are linked from a similarity of percent on.
 
     A text without words (or null) has 0 shingles and is linked with nothing. Rows with a null doc_id keep a null
     component_id and are kept. A doc_id names one text: its repeated rows are one node and all get its component. An
@@ -295,7 +295,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     heads = saved(by_words.groupBy("words").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies")))
     classes = by_words.join(heads, (by_words["words"] == heads["words"]) & (by_words["doc_id"] == heads["head"]), "left_semi").dropDuplicates(["doc_id"])
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    nodes, links = class_links(saved(classes.select("doc_id", "n_shingles", "bands")), texts)
+    nodes, links = class_links(saved(classes.select("doc_id", "n_shingles", "bands")), texts, percent)
     roots = components(nodes, links).withColumnRenamed("doc_id", "head")
     heads = saved(heads.join(roots, "head", "left").select("words", "copies", F.coalesce("component", "head").alias("component_id")))
     total = rows.count()

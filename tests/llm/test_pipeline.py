@@ -32,6 +32,15 @@ def _linked(a, b):
     return 100 * len(sets[0] & sets[1]) >= 85 * len(sets[0] | sets[1])
 
 
+def test_near_copies_from_four_fifths_on_go(spark):
+    words = [f"w{i}" for i in range(44)]  # 40 shingles; n more words give a similarity of 40 / (40 + n)
+    texts = {1: words, 2: [*words, *(f"x{i}" for i in range(10))]}
+    texts |= {3: [f"v{w}" for w in words], 4: [*(f"v{w}" for w in words), *(f"y{i}" for i in range(8))]}
+    texts |= {5: [f"u{w}" for w in words], 6: [*(f"u{w}" for w in words), *(f"z{i}" for i in range(11))]}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()) == [1, 3, 5, 6]
+
+
 def test_run(spark):
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert out.count() > 100 and out.filter("bin_id is not null").count() > 100
