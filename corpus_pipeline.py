@@ -56,7 +56,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document stays; half of all words again are shared out by the sources' weights as second copies."""
+    """Every document stays; second copies of half of all words bring the sources' final shares towards their weights."""
     return repeated_documents(docs)
 
 

@@ -8,6 +8,8 @@ block r modulo the number of its blocks, and the slot that reaches the source's
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,6 +47,26 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return per.select("sid", "source", "source_size", "weight", target.alias("target"))
 
 
+def extra_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 0.5, most: float = 1.0) -> DataFrame:
+    """As targets, where each source keeps its own words and target is what it gets beyond them.
+
+    A source's whole share is a common level times its weight, but at least its own words and at most 1 + `most`
+    times them; the shares sum to 1 + `share` times all words. With every level at which a source starts or stops to
+    grow in order, the sum of the shares at each is known, and the common level follows the last that is not too high.
+    """
+    per = targets(sizes, weights, share, most).drop("target")
+    own = F.col("source_size") / F.col("weight")
+    starts = per.select("sid", own.alias("at"), F.col("weight").alias("slope"))
+    stops = per.select("sid", (F.lit(1 + most) * own).alias("at"), (-F.col("weight")).alias("slope"))
+    upto = Window.orderBy("at", F.desc("slope"), "sid").rowsBetween(Window.unboundedPreceding, 0)
+    turns = starts.unionByName(stops).select("at", F.sum("slope").over(upto).alias("slope"), F.sum(F.col("slope") * F.col("at")).over(upto).alias("past"))
+    wanted = F.lit(share) * F.col("words")
+    turns = turns.crossJoin(per.agg(F.sum("source_size").alias("words"))).filter(F.col("at") * F.col("slope") - F.col("past") <= wanted)
+    last = turns.agg(F.max_by(F.when(F.col("slope") > 0, (wanted + F.col("past")) / F.col("slope")).otherwise(F.col("at")), F.struct("at", -F.col("slope"))).alias("level"))
+    beyond = F.greatest(F.lit(0.0), F.least(F.lit(most) * F.col("source_size"), F.col("level") * F.col("weight") - F.col("source_size")))
+    return per.crossJoin(F.broadcast(last)).select("sid", "source", "source_size", "weight", beyond.alias("target"))
+
+
 def plan(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """Adds the blocks of a source, the words and slots it gives, whole passes over it, and its share of [0, 1)."""
     words = F.floor("target").cast("long")
@@ -99,9 +121,9 @@ def lines(docs: DataFrame, sources: DataFrame, n_sources: int, n_docs: int) -> D
     return rows.withColumn("within", within).join(sums, ["sid", "part"]).withColumn("start", F.col("base") + F.col("within")).drop("h", "part", "within", "base")
 
 
-def _mix(docs: DataFrame, size: Column, weights: tuple[int, ...], share: float, most: float, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _mix(docs: DataFrame, size: Column, weights: tuple[int, ...], share: float, most: float, block: int, aims: Callable[..., DataFrame] = targets) -> tuple[DataFrame, DataFrame, DataFrame]:
     sized = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size")))
-    sources = saved(plan(targets(sized.select("source", "size"), weights, share, most), block))
+    sources = saved(plan(aims(sized.select("source", "size"), weights, share, most), block))
     n_sources = sources.count()
     placed = saved(lines(sized, sources, n_sources, sized.count()).join(_fit(sources.drop("source", "weight", "low", "high"), n_sources), "sid"))
     first, last = F.floor(F.col("start") / block).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / block).cast("long")
@@ -118,7 +140,7 @@ def mixed_stream(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: flo
     return pieces.join(turns, ["sid", "block"]).withColumn("words", end - F.col("low")).filter("words > 0").select("slot", "doc_id", "source", (F.col("low") - F.col("start")).alias("first_word"), "words")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK_WORDS) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK_WORDS, aims: Callable[..., DataFrame] = targets) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row per row of docs.
 
     A null text has size 0, and texts without words take part with taken 0. Rows with a null source are a source of
@@ -126,7 +148,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     have their own place. The words taken from a source are its target without its fraction. An empty table gives no
     rows. Columns other than doc_id, text and source are ignored.
     """
-    placed, pieces, turns = _mix(docs, n_words(F.col("text")), weights, share, most, block)
+    placed, pieces, turns = _mix(docs, n_words(F.col("text")), weights, share, most, block, aims)
     taken_blocks = turns.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("turns"))
     cut = F.greatest(F.least("high", "rest") - F.col("low"), F.lit(0))
     whole = (F.col("high") - F.col("low")) * F.least("turns", "passes") + F.when(F.col("turns") > F.col("passes"), cut).otherwise(F.lit(0))
@@ -137,12 +159,13 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
 
 
 def repeated_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, extra: float = 0.5, most: float = 1.0) -> DataFrame:
-    """Every document once, and those that the mix of `extra` times all words takes for at least half a second time.
+    """Every document once, and those of which the mix takes at least half beyond that a second time.
 
-    The rows and columns of docs; the mix decides on whole documents, so none is cut. Rows whose doc_id is repeated
+    The copies bring the sources, with what they hold already, as near to their weights as copies alone can: see
+    extra_targets. The rows and columns of docs; the mix decides on whole documents, so none is cut. Rows whose doc_id is repeated
     or null are decided together.
     """
-    mix = mix_sources(docs, weights, extra, most).groupBy("doc_id").agg(F.max(F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")).alias("again"))
+    mix = mix_sources(docs, weights, extra, most, aims=extra_targets).groupBy("doc_id").agg(F.max(F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")).alias("again"))
     # by a shuffle at every size: the copies grow with the documents
     copies = saved(mix.filter("again > 0").withColumnRenamed("doc_id", "copied")).hint("merge")
     joined = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("copied")), "left")

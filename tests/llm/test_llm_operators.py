@@ -71,6 +71,25 @@ def test_mixing_odd(odd, spark):
     assert again.columns == odd.columns and again.count() >= odd.count()
 
 
+def test_copies_bring_final_shares_to_the_weights(spark):
+    def reached(n_docs):
+        rows = [(1000 * k + i, " ".join(["w"] * 20), f"s{k}") for k, n in enumerate(n_docs) for i in range(n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = Counter(r["source"] for r in mixing.repeated_documents(docs).collect())
+        return [got[f"s{k}"] for k in range(len(n_docs))]
+
+    # shares between once and twice the size: level times weight, in documents
+    for n_docs in ((60, 60, 60), (20, 100, 20), (50, 100, 200, 50)):
+        total = 1.5 * sum(n_docs)
+        weights = [5, 2, 1, 5][: len(n_docs)]
+        lo, hi = 0.0, 1e4
+        for _ in range(100):
+            mid = (lo + hi) / 2
+            lo, hi = (lo, mid) if sum(min(2 * n, max(n, mid * w)) for n, w in zip(n_docs, weights, strict=True)) > total else (mid, hi)
+        aim = [min(2 * n, max(n, lo * w)) for n, w in zip(n_docs, weights, strict=True)]
+        assert all(abs(g - a) <= 1 for g, a in zip(reached(n_docs), aim, strict=True)), (n_docs, aim)
+
+
 # --- 2: nearest neighbours ---
 
 
