@@ -1,8 +1,10 @@
 """Operators against brute force, round trips and held-out labels, and their defined results for odd inputs."""
 
 import hashlib
+import html as html_module
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -281,6 +283,50 @@ def test_html_text_finds_the_stretch_on_pages_with_articles():
     assert html_text.main_text(page) == " ".join([*main, "A link at its end"])
 
 
+PARAGRAPHS = "".join(f"<p>Paragraph {i} of the text, of some length and with an end.</p>" for i in range(6))
+MENU = '<nav><ul><li><a href="/a">menu</a></ul></nav><div class="ad">Buy it now, please.</div>'
+WHOLE = " ".join(re.findall(r"<p>(.*?)</p>", PARAGRAPHS))
+
+
+@pytest.mark.parametrize("names", ['class="overflow-hidden"', 'style="overflow:hidden"', 'class="content ad-free"', 'id="share-wrap"', "class=related"])
+@pytest.mark.parametrize("tag", ["article", "section"])
+def test_html_text_keeps_articles_in_elements_with_misleading_names(names, tag):
+    assert html_text.main_text(f"{MENU}<{tag}><div {names}>{PARAGRAPHS}</div></{tag}><footer>foot</footer>") == WHOLE
+
+
+def test_html_text_of_broken_markup():
+    first, rest = PARAGRAPHS[: PARAGRAPHS.index("</p>") + 4], PARAGRAPHS[PARAGRAPHS.index("</p>") + 4 :]
+    for page in (
+        f'{MENU}<div>{first}<p class="share">Share this{rest}</div>',
+        f'{MENU}<div>{first}<div class="share">{rest}</div></div>',
+        f"{MENU}<article>{PARAGRAPHS}</article><section id=comments>{'<p>A comment by a reader which is long.</p>' * 40}</section>",
+        f"{MENU}<main>{PARAGRAPHS}</main><aside><article><p>A card.</p></article></aside>",
+        f"<title>never closed{MENU}<div>{PARAGRAPHS}</div><textarea>",
+        f"{MENU}<div>{PARAGRAPHS}</div><div hidden>{PARAGRAPHS[:100]}</div>",
+        f"{MENU}<ul class=menu><li>one<li>two</ul><div>{PARAGRAPHS}",
+    ):
+        assert html_text.main_text(page).endswith(WHOLE) and "Buy" not in html_text.main_text(page) and "card" not in html_text.main_text(page), page
+    # cards in article tags elsewhere do not outweigh the text
+    assert html_text.main_text(f"{MENU}<main>{PARAGRAPHS}</main>" + "<hr><div>x</div>" * 3 + "<article><p>Card.</p></article>").startswith(WHOLE)
+
+
+@pytest.mark.parametrize("piece", ['"', "\"'", '<a b="', "<a", '<a x="<q" ', "<!--", "</title", "<title>", "<div class=ad>", "</div>", "<p>x", "<a =", "<li>a", "<b>", "<span class=ad>"])
+def test_html_text_reads_each_page_once(piece):
+    start = time.time()
+    for page in ("<a " + piece * 10_000, piece * 10_000, "<p " + piece * 10_000 + ">"):
+        html_text.main_text(page)
+    assert time.time() - start < 3
+
+
+def test_html_text_does_not_depend_on_article_tags():
+    pages = duckdb.sql(f"select html from '{DATA}/pages.parquet'").fetchall()
+    for (page,) in pages:
+        got = html_text.main_text(page)
+        article = re.search(r"<article>(.*)</article>", page, re.S)[1]
+        want = " ".join(html_module.unescape(re.sub(r"<[^>]*>", lambda m: "" if m[0] in ("<b>", "</b>") else " ", article)).split())
+        assert got == want == html_text.main_text(re.sub("</?article>", "", page))
+
+
 def test_html_query(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "v", "<article>é<script>", "x"), (3, "v", "<article>é<script>", "x")], "page_id long, url string, html string, text string")
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in html_text.extract_text(pages).collect()) == [(1, "", 0), (2, "", 0), (3, "é", 1), (3, "é", 1)]
