@@ -145,7 +145,7 @@ def lines(page: str) -> tuple[list[Line], list[Element]]:
         del open_[to:]
 
     def begin(name: str, named: bool, dropped: bool, outer: Element | None) -> Element:
-        e = Element(name, named, dropped, outer)
+        e = Element(name, named, dropped, outer, article=many["article"] > 0)
         if named or dropped:
             around.append(e)
         return e
@@ -256,11 +256,9 @@ def article_lines(found: list[Line], around: list[Element]) -> list[Line]:
         clear = clear or (x.article and not doubted)
         if x.inside:
             x.inside.plain += x.plain
-            x.inside.article = x.inside.article or x.article
     for e in reversed(around):
         if e.outer:
             e.outer.plain += e.plain
-            e.outer.article = e.outer.article or e.article
     misleading = total - apart < NAMED * apart
     for e in around:
         own = e.named and e.ended and not (misleading and 2 * e.plain >= apart and (e.article or not clear))

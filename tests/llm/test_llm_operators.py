@@ -300,6 +300,7 @@ def test_html_text_of_broken_markup():
         f'{MENU}<div>{first}<p class="share">Share this{rest}</div>',
         f'{MENU}<div>{first}<div class="share">{rest}</div></div>',
         f"{MENU}<article>{PARAGRAPHS}</article><section id=comments>{'<p>A comment by a reader which is long.</p>' * 40}</section>",
+        f"{MENU}<article>{PARAGRAPHS}</article><div class=comments>{'<article><p>A comment by a reader which is long.</p></article>' * 40}</div>",
         f"{MENU}<main>{PARAGRAPHS}</main><aside><article><p>A card.</p></article></aside>",
         f"<title>never closed{MENU}<div>{PARAGRAPHS}</div><textarea>",
         f"{MENU}<div>{PARAGRAPHS}</div><div hidden>{PARAGRAPHS[:100]}</div>",
