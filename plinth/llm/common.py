@@ -30,6 +30,11 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_RUN, " ")
 
 
+def text_digest(text: Column) -> Column:
+    """128 bits of the text as it is; null for null. With the doc_id it tells a row from those with other texts."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 

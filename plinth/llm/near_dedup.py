@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.common import saved
+from plinth.llm.common import saved, text_digest
 
 COORDINATES, BANDS, ROWS = 128, 25, 5
 SHINGLE, PERCENT = 5, 85
@@ -146,15 +146,20 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bands[i] = k
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"],
+                "copy": batch["copy"],
                 "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                 "words": pa.array([d or None for d in digests], pa.binary()),
                 "bands": pa.array(bands, pa.list_(pa.int64())),
             })
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """doc_id, copy (a digest of the text, null for null) and text: what tells a row from those with other texts."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest(F.col("text")).alias("copy"), "text")
+
+
 def sketch_table(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_sketched, "doc_id long, n_shingles long, words binary, bands array<long>")
+    return identified(docs).mapInArrow(_sketched, "doc_id long, copy binary, n_shingles long, words binary, bands array<long>")
 
 
 def _against_pivot(key: tuple, pivot: pd.DataFrame, members: pd.DataFrame, percent: int) -> pd.DataFrame:
@@ -169,32 +174,32 @@ def _against_pivot(key: tuple, pivot: pd.DataFrame, members: pd.DataFrame, perce
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that are linked on full sets.
+    """The pairs (a, b) of nodes that are linked on full sets; texts: node, text.
 
     The members b of one pivot a are dealt into blocks by their hash, and the pivot's text is sent to each block.
     """
     sizes = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     blocks = saved(sizes.withColumn("parts", F.ceil(F.col("n") / PIVOT_BLOCK).cast("int")))
-    left = texts.join(blocks, texts["doc_id"] == blocks["a"]).select(F.col("a").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("text").alias("text"))
+    left = texts.join(blocks, texts["node"] == blocks["a"]).select(F.col("a").alias("a"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("text").alias("text"))
     hot = blocks.filter("parts > 1").select("a", "parts")
     right = (
         pairs.join(hot, "a", "left").select("a", "b", F.pmod(F.xxhash64("b"), F.coalesce("parts", F.lit(1))).cast("int").alias("part"))
-        .join(texts.withColumnRenamed("doc_id", "b"), "b")
+        .join(texts.withColumnRenamed("node", "b"), "b")
     )
     return left.groupBy("a", "part").cogroup(right.groupBy("a", "part")).applyInPandas(lambda key, pivot, members: _against_pivot(key, pivot, members, percent), "a long, b long")
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(doc_id, component): the least node that each node reaches over links (a, b), by rounds of least labels and jumps."""
+    """(node, component): the least node that each node reaches over links (a, b), by rounds of least labels and jumps."""
     both = saved(links.select("a", "b").union(links.select("b", "a")).distinct())
-    labels = saved(nodes.select("doc_id", F.col("doc_id").alias("component")))
+    labels = saved(nodes.select("node", F.col("node").alias("component")))
     while True:
-        near = both.join(labels.withColumnRenamed("doc_id", "b"), "b").groupBy("a").agg(F.min("component").alias("other"))
-        step = saved(labels.join(near, labels["doc_id"] == near["a"], "left").select("doc_id", F.col("component").alias("before"), F.least("component", "other").alias("component")))
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("other"))
+        step = saved(labels.join(near, labels["node"] == near["a"], "left").select("node", F.col("component").alias("before"), F.least("component", "other").alias("component")))
         if step.filter("before != component").isEmpty():
-            return step.select("doc_id", "component")
-        jump = step.select(F.col("doc_id").alias("component"), F.col("component").alias("root"))
-        labels = saved(step.select("doc_id", "component").join(jump, "component", "left").select("doc_id", F.least("component", "root").alias("component")))
+            return step.select("node", "component")
+        jump = step.select(F.col("node").alias("component"), F.col("component").alias("root"))
+        labels = saved(step.select("node", "component").join(jump, "component", "left").select("node", F.least("component", "root").alias("component")))
 
 
 class Forest:
@@ -217,18 +222,19 @@ def _pairs_within(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[p
     for batch in batches:
         found: set[tuple[int, int]] = set()
         for members in batch["members"].to_pylist():
-            rows = [(m["doc_id"], m["n_shingles"], m["component"]) for m in members]
+            rows = [(m["node"], m["n_shingles"], m["component"]) for m in members]
             for i, (x, n, root) in enumerate(rows):
                 found.update((min(x, y), max(x, y)) for y, k, other in rows[:i] if other != root and 100 * min(n, k) >= percent * max(n, k))
         pairs = sorted(found)
         yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in pairs], pa.int64()), "b": pa.array([y for _, y in pairs], pa.int64())})
 
 
-def _blocks(key: tuple, members: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """A forest of the links between two blocks of a large bucket, by products of membership matrices."""
-    first, second = key[1], key[2]
-    members = members.sort_values(["block", "doc_id"])
-    sets, ids, roots = [], members["doc_id"].tolist(), members["component"].tolist()
+def _blocks(members: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """A forest of the links between the minor members of a tile and its others, by products of membership matrices."""
+    members = members.sort_values(["minor", "node"], ascending=[False, True])
+    ids, roots = members["node"].tolist(), members["component"].tolist()
+    m = int(members["minor"].sum())
+    sets = []
     for at in range(0, len(members), 64):
         sets += shingle_sets(lowered(members["text"].iloc[at : at + 64].tolist()))[0]
     sizes = np.array([len(s) for s in sets])
@@ -239,72 +245,136 @@ def _blocks(key: tuple, members: pd.DataFrame, percent: int) -> pd.DataFrame:
     rows, cols = rows[common[where]], column[where][common[where]]
     order = np.argsort(cols, kind="stable")
     rows, cols = rows[order], cols[order]
-    both = np.zeros((len(sets), len(sets)), np.float32)
+    both = np.zeros((m, len(sets) - m), np.float32)
     for lo in range(0, int(common.sum()), 4096):
         a, b = np.searchsorted(cols, (lo, lo + 4096))
         x = np.zeros((len(sets), 4096), np.float32)
         x[rows[a:b], cols[a:b] - lo] = 1
-        both += x @ x.T
-    hit = 100 * both >= percent * (sizes[:, None] + sizes[None, :] - both)
-    block = members["block"].to_numpy()
+        both += x[:m] @ x[m:].T
+    hit = 100 * both >= percent * (sizes[:m, None] + sizes[None, m:] - both)
     forest, out = Forest(), []
-    for i in range(len(ids)):
-        for j in np.flatnonzero(hit[i, :i]).tolist():
-            if (first == second or block[i] != block[j]) and roots[i] != roots[j] and forest.join(roots[i], roots[j]):
-                out.append((ids[j], ids[i]))
+    for i in range(m):
+        for j in (np.flatnonzero(hit[i]) + m).tolist():
+            if roots[i] != roots[j] and forest.join(roots[i], roots[j]):
+                out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
+def _tiles(large: DataFrame) -> DataFrame:
+    """Tiles of large buckets (band, key, node, component, n): bucket, i, j, minor, node, component.
+
+    Buckets of the same members are taken once. Their members outside of the bucket's largest component, the minor
+    ones, stand in blocks i, and all members in blocks j: every pair of different components meets in a tile, and
+    the more of a bucket is joined already, the fewer tiles there are.
+    """
+    bucket = ["band", "key"]
+    whole = large.groupBy(*bucket).agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.sum(F.xxhash64(F.lit(1), "node").cast("decimal(38,0)")).alias("y"))
+    once = whole.groupBy("n", "x", "y").agg(F.min(F.struct(*bucket)).alias("first")).select("first.band", "first.key")
+    parts = large.join(once, bucket).groupBy(*bucket, "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy(*bucket).agg(F.max(F.struct("n", "component")).alias("major"), F.sum("n").alias("all"))
+    sizes = saved(sizes.select(*bucket, F.col("major.component").alias("major"), F.ceil(F.col("all") / BLOCK).cast("int").alias("nj"), F.ceil((F.col("all") - F.col("major.n")) / BLOCK).cast("int").alias("ni")))
+    rows = large.select(*bucket, "node", "component").join(sizes, bucket).withColumn("bucket", F.concat_ws(":", *bucket))
+    i, j = F.pmod(F.xxhash64("node"), F.col("ni")).cast("int"), F.pmod(F.xxhash64("node"), F.col("nj")).cast("int")
+    minor = rows.filter("component != major").select("bucket", i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("nj") - 1)).alias("j"), F.lit(1).alias("minor"), "node", "component")
+    every = rows.select("bucket", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)).alias("i"), j.alias("j"), F.lit(0).alias("minor"), "node", "component")
+    return minor.unionByName(every)
+
+
 def class_links(classes: DataFrame, texts: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Nodes with a candidate partner, and links whose components are those of all links between candidates.
 
-    classes: doc_id, n_shingles, bands of one document for each set; texts: doc_id, text of the same documents.
+    classes: node, doc_id, copy, n_shingles, bands of one row for each set; texts: doc_id, copy, text.
     """
-    bands = classes.select("doc_id", "n_shingles", F.posexplode("bands").alias("band", "key"))
-    sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("pivot"))
+    bands = classes.select("node", "n_shingles", F.posexplode("bands").alias("band", "key"))
+    sizes = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("pivot"))
     shared = saved(sizes.filter("n > 1"))
     members = saved(bands.join(shared, ["band", "key"]))
-    nodes = saved(members.select("doc_id").distinct())
-    own = saved(texts.join(nodes.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    stars = saved(members.filter("doc_id != pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct())
+    nodes = saved(members.select("node").distinct())
+    wanted = saved(classes.select("node", "doc_id", "copy").join(nodes.hint("merge"), "node", "left_semi")).hint("merge")
+    own = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["copy"] == wanted["copy"]))
+    own = saved(own.select("node", "text").dropDuplicates(["node"]))
+    stars = saved(members.filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct())
     links = saved(verified(stars, own, percent))
     joined = components(nodes, links)
-    placed = saved(members.join(joined, "doc_id"))
+    placed = saved(members.join(joined, "node"))
     mixed = placed.groupBy("band", "key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("band", "key")
     placed = saved(placed.join(mixed, ["band", "key"]))
-    lists = placed.filter(F.col("n") <= SMALL).groupBy("band", "key").agg(F.collect_list(F.struct("doc_id", "n_shingles", "component")).alias("members"))
+    lists = placed.filter(F.col("n") <= SMALL).groupBy("band", "key").agg(F.collect_list(F.struct("node", "n_shingles", "component")).alias("members"))
     small = lists.select("members").mapInArrow(lambda batches: _pairs_within(batches, percent), "a long, b long").distinct()
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     more = verified(saved(small.join(tested, ["a", "b"], "left_anti")), own, percent)
-    parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    large = placed.filter(F.col("n") > SMALL).withColumn("block", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
-    tiles = large.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).select("band", "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id", "component")
-    rest = tiles.join(own, "doc_id").groupBy(F.concat_ws(":", "band", "key").alias("bucket"), "i", "j").applyInPandas(lambda key, members: _blocks(key, members, percent), "a long, b long")
+    tiles = _tiles(placed.filter(F.col("n") > SMALL))
+    rest = tiles.join(own, "node").groupBy("bucket", "i", "j").applyInPandas(lambda members: _blocks(members, percent), "a long, b long")
     return nodes, links.unionByName(more).unionByName(rest).distinct()
 
 
+def _same_ids(rows: DataFrame, heads: DataFrame) -> DataFrame | None:
+    """Links (a, b) between the texts of each doc_id that has several; None if no doc_id has."""
+    several = rows.filter("words is not null and doc_id is not null").groupBy("doc_id").agg(F.min("words").alias("lo"), F.max("words").alias("hi")).filter("lo != hi").select("doc_id")
+    several = saved(several)
+    if several.isEmpty():
+        return None
+    texts = saved(rows.select("doc_id", "words").join(several, "doc_id").distinct().join(heads.select("words", "node"), "words").select("doc_id", "node"))
+    least = texts.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return saved(texts.join(least, "doc_id").filter("a != node").select("a", F.col("node").alias("b")).distinct())
+
+
+def near_groups(docs: DataFrame, percent: int = PERCENT, same_ids: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Rows and the classes of equal word sequences with the group each belongs to.
+
+    rows: doc_id, copy, n_shingles, words (null without words), one for each of docs. Classes: words, copies, root
+    (which names the group), doc_id and copy of its first row (ids before none), and component_id, the least doc_id of
+    the group (null if none of its rows has one). With same_ids the texts of one doc_id belong together too.
+    """
+    rows = saved(sketch_table(docs))
+    by_words = rows.filter("words is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy"))
+    heads = by_words.groupBy("words").agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
+    # an id that grows along the partitions, and stays: the table is written once
+    heads = saved(heads.select("words", "copies", "first.doc_id", "first.copy", F.monotonically_increasing_id().alias("node")))
+    same = (by_words["words"] == heads["words"]) & by_words["doc_id"].eqNullSafe(heads["doc_id"]) & (by_words["copy"] == heads["copy"])
+    classes = by_words.join(heads, same).select(heads["node"], heads["doc_id"], heads["copy"], "n_shingles", "bands").dropDuplicates(["node"])
+    nodes, links = class_links(saved(classes), identified(docs), percent)
+    if same_ids and (more := _same_ids(rows, heads)) is not None:
+        nodes = nodes.union(more.select("a")).union(more.select("b")).distinct()
+        links = links.unionByName(more)
+    roots = components(nodes, links)
+    joined = saved(heads.select("node", "doc_id").join(roots, "node"))
+    least = joined.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    placed = joined.join(least, "component").select("node", F.col("component").alias("root"), "component_id")
+    out = heads.join(placed, "node", "left").withColumn("component_id", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+    return rows.drop("bands"), saved(out.select("words", "copies", "doc_id", "copy", F.coalesce("root", "node").alias("root"), "component_id"))
+
+
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of docs; texts are linked from a similarity of percent on.
 
-    A text without words (or null) has 0 shingles and is linked with nothing. Rows with a null doc_id keep a null
-    component_id and are kept. A doc_id names one text: its repeated rows are one node and all get its component. An
-    empty table gives no rows. Columns other than doc_id and text are ignored.
+    A text without words (or null) has 0 shingles and is linked with nothing. A doc_id with several texts is one
+    document: what any of them is linked with it reaches, and all its rows with words get its component. A row with a
+    null doc_id takes part by its text; its component_id is null, and it is kept, if no document with an id is
+    reachable. Repeated rows get equal results. An empty table gives no rows. Columns other than doc_id and text are
+    ignored. Sets are compared by 64-bit hashes of shingles: for two sets of n shingles in all the chance that one
+    differs by a collision is below n * n / 2^65, so 1e-9 for texts of 100,000 words.
     """
-    rows = saved(sketch_table(docs))
-    by_words = rows.filter("words is not null and doc_id is not null")
-    heads = saved(by_words.groupBy("words").agg(F.min("doc_id").alias("head"), F.count(F.lit(1)).alias("copies")))
-    classes = by_words.join(heads, (by_words["words"] == heads["words"]) & (by_words["doc_id"] == heads["head"]), "left_semi").dropDuplicates(["doc_id"])
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    nodes, links = class_links(saved(classes.select("doc_id", "n_shingles", "bands")), texts, percent)
-    roots = components(nodes, links).withColumnRenamed("doc_id", "head")
-    heads = saved(heads.join(roots, "head", "left").select("words", "copies", F.coalesce("component", "head").alias("component_id")))
-    total = rows.count()
-    hot = F.col("copies") * 1000 > total
-    big = F.broadcast(heads.filter(hot))  # 1000 rows at most
-    joined = rows.drop("bands").join(big, "words", "left")
+    rows, heads = near_groups(docs, percent)
+    heads = heads.select("words", "copies", "component_id")
+    hot = F.col("copies") * 1000 > rows.count()
     columns = ("doc_id", "n_shingles", "component_id")
-    near = joined.filter("component_id is not null").select(*columns)
-    alone = joined.filter("component_id is null")
-    rest = alone.select("doc_id", "n_shingles", "words").join(heads.filter(~hot), "words", "left").select(*columns)
-    out = near.unionByName(rest).withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    worded = rows.filter("words is not null").select("doc_id", "n_shingles", "words")
+    big = F.broadcast(heads.filter(hot))  # 1000 rows at most
+    near = worded.join(big, "words").select(*columns)
+    rest = worded.join(big, "words", "left_anti").join(heads.filter(~hot), "words").select(*columns)
+    none = rows.filter("words is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    out = near.unionByName(rest).unionByName(none)
+    return out.select(*columns, F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def near_first(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, copy: of each group of linked texts the first one, and every text without words.
+
+    Rows are told apart by doc_id and text, so a doc_id with several texts may keep one and lose another. The first
+    text of a group is that of the least doc_id, of rows without one that of the least digest.
+    """
+    rows, heads = near_groups(docs, percent, same_ids=False)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copy")).alias("first")
+    return heads.groupBy("root").agg(first).select("first.doc_id", "first.copy").unionByName(rows.filter("words is null").select("doc_id", "copy").distinct())

@@ -392,6 +392,22 @@ def test_sketches_fill_and_estimate():
     assert abs((s[0] == s[1]).mean() - 900 / 1100) < 0.13
 
 
+def test_near_dedup_repeated_ids(spark):
+    rng = random.Random(12)
+    x, y, z = (" ".join(f"{c}{rng.randrange(10**6)}" for _ in range(40)) for c in "xyz")
+
+    def found(rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_dedup(df).collect()), key=str)
+
+    assert found([(1, x), (1, y), (2, x + " z"), (3, y + " z")]) == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False)]
+    assert found([(5, x), (5, y), (9, y + " z"), (1, x + " z"), (4, z), (4, "")]) == [(1, 1, True), (4, 4, True), (4, 4, True), (5, 1, False), (5, 1, False), (9, 1, False)]
+    assert found([(None, x), (None, x + " z"), (7, y), (None, y + " z"), (8, z), (8, z)]) == [(7, 7, True), (8, 8, True), (8, 8, True), (None, 7, False), (None, None, True), (None, None, True)]
+    df = spark.createDataFrame([(1, x), (1, y), (2, x + " z"), (3, y), (None, y + " z"), (None, z), (6, ""), (6, z + " q")], "doc_id long, text string")
+    first = {(r["doc_id"], bytes(r["copy"])) for r in near_dedup.near_first(df).collect()}
+    assert first == {(i, hashlib.md5(t.encode()).digest()) for i, t in ((1, x), (1, y), (6, z + " q"), (6, ""))}
+
+
 def test_near_dedup_odd(odd):
     got = near_dedup.near_dedup(odd).collect()
     assert len(got) == odd.count()
