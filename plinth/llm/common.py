@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,11 @@ WORD = r"[^\x20\x09-\x0D]++"
 #: Runs of white space other than one single space; replacing them by one space normalises a text.
 SPACE_RUN = r"[\x09-\x0D][\x20\x09-\x0D]*+|\x20[\x20\x09-\x0D]++"
 
+#: Tables written within `temporary`, if any is open.
+_made: list[str] | None = None
+#: The folder of a local session without the setting.
+_own: str | None = None
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,17 +45,18 @@ def text_digest(text: Column) -> Column:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Only a local session (one machine) may run without the setting; a folder of its own is set then.
+    Only a local session (one machine) may run without the setting; it gets a folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
         return path.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    path = tempfile.mkdtemp(prefix="plinth-")
-    atexit.register(shutil.rmtree, path, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    global _own
+    if _own is None:  # the setting itself cannot be changed while a session runs
+        _own = tempfile.mkdtemp(prefix="plinth-")
+        atexit.register(shutil.rmtree, _own, ignore_errors=True)
+    return _own
 
 
 def saved(df: DataFrame) -> DataFrame:
@@ -59,9 +67,39 @@ def saved(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/plinth-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    if _made is not None:
+        _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Removes a table by the file system that its path names."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables that `saved` wrote within it: their results must be written by then."""
+    global _made
+    outer, _made = _made, []
+    try:
+        yield
+    finally:
+        made, _made = _made, outer
+        for path in made:
+            delete(spark, path)
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """A name that no column of df has (letters of either case are alike)."""
+    there = {c.lower() for c in df.columns}
+    while name.lower() in there:
+        name += "_"
+    return name
+
+
 def held(column: Column, folds: int, fold: int) -> Column:
     """Whether crc32(column as text) mod folds equals fold; false for null."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % folds == fold, F.lit(False))

@@ -8,18 +8,23 @@ block r modulo the number of its blocks, and the slot that reaches the source's
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from plinth.llm.common import n_words, saved
+from plinth.llm.common import n_words, saved, text_digest
 
 WEIGHTS, BLOCK_WORDS, CELLS = (5, 2, 1), 1024, 1024
 GOLDEN = 0.6180339887498949
-#: A table of sources up to this many rows is sent to all executors; a larger one is joined by a shuffle.
-BROADCAST_ROWS = 50_000
+#: A table of sources up to this many rows is sent to all executors, if no name is longer than NAME bytes (so 50 MB at
+#: most); a larger one is joined by a shuffle.
+BROADCAST_ROWS, NAME = 50_000, 900
+#: Equal rows are expanded in stretches of this many.
+EQUAL = 65_536
 PLACES = 1 << 28
+#: Whole documents of the mix are sorted within stretches of this many slots, and each stretch lies in one partition.
+STRETCH = 1024
 
 
 def _fit(df: DataFrame, rows: int) -> DataFrame:
@@ -47,26 +52,6 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     return per.select("sid", "source", "source_size", "weight", target.alias("target"))
 
 
-def extra_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 0.5, most: float = 1.0) -> DataFrame:
-    """As targets, where each source keeps its own words and target is what it gets beyond them.
-
-    A source's whole share is a common level times its weight, but at least its own words and at most 1 + `most`
-    times them; the shares sum to 1 + `share` times all words. With every level at which a source starts or stops to
-    grow in order, the sum of the shares at each is known, and the common level follows the last that is not too high.
-    """
-    per = targets(sizes, weights, share, most).drop("target")
-    own = F.col("source_size") / F.col("weight")
-    starts = per.select("sid", own.alias("at"), F.col("weight").alias("slope"))
-    stops = per.select("sid", (F.lit(1 + most) * own).alias("at"), (-F.col("weight")).alias("slope"))
-    upto = Window.orderBy("at", F.desc("slope"), "sid").rowsBetween(Window.unboundedPreceding, 0)
-    turns = starts.unionByName(stops).select("at", F.sum("slope").over(upto).alias("slope"), F.sum(F.col("slope") * F.col("at")).over(upto).alias("past"))
-    wanted = F.lit(share) * F.col("words")
-    turns = turns.crossJoin(per.agg(F.sum("source_size").alias("words"))).filter(F.col("at") * F.col("slope") - F.col("past") <= wanted)
-    last = turns.agg(F.max_by(F.when(F.col("slope") > 0, (wanted + F.col("past")) / F.col("slope")).otherwise(F.col("at")), F.struct("at", -F.col("slope"))).alias("level"))
-    beyond = F.greatest(F.lit(0.0), F.least(F.lit(most) * F.col("source_size"), F.col("level") * F.col("weight") - F.col("source_size")))
-    return per.crossJoin(F.broadcast(last)).select("sid", "source", "source_size", "weight", beyond.alias("target"))
-
-
 def plan(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     """Adds the blocks of a source, the words and slots it gives, whole passes over it, and its share of [0, 1)."""
     words = F.floor("target").cast("long")
@@ -105,27 +90,40 @@ def schedule(sources: DataFrame) -> DataFrame:
 
 
 def lines(docs: DataFrame, sources: DataFrame, n_sources: int, n_docs: int) -> DataFrame:
-    """Adds sid and start, the document's place on the line of words of its source, in the order of md5(doc_id).
+    """Adds sid and start, the place of the first of the row's `same` documents on the line of words of its source.
 
-    Sums over ranges of the hash come first and are added up per source, so no task sees a whole source.
+    Documents stand in the order of md5(doc_id). Sums over ranges of the hash come first and are added up per source,
+    so no task sees a whole source.
     """
     parts = max(1024, n_docs // 4096)
     own = _fit(sources.select("sid", F.col("source").alias("of")), n_sources)
     rows = docs.join(own, docs["source"].eqNullSafe(F.col("of"))).drop("of")
     rows = rows.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
     rows = rows.withColumn("part", F.floor(F.conv(F.substring("h", 1, 7), 16, 10).cast("long") * parts / PLACES).cast("long"))
-    sums = rows.groupBy("sid", "part").agg(F.sum("size").alias("words"))
+    words = F.col("size") * F.col("same")
+    sums = rows.groupBy("sid", "part").agg(F.sum(words).alias("words"))
     base = F.coalesce(F.sum("words").over(Window.partitionBy("sid").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     sums = saved(sums.select("sid", "part", base.alias("base")))
-    within = F.sum("size").over(Window.partitionBy("part", "sid").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
+    order = [c for c in ("h", "doc_id", "size", "copy") if c in rows.columns]
+    within = F.sum(words).over(Window.partitionBy("part", "sid").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - words
     return rows.withColumn("within", within).join(sums, ["sid", "part"]).withColumn("start", F.col("base") + F.col("within")).drop("h", "part", "within", "base")
 
 
-def _mix(docs: DataFrame, size: Column, weights: tuple[int, ...], share: float, most: float, block: int, aims: Callable[..., DataFrame] = targets) -> tuple[DataFrame, DataFrame, DataFrame]:
-    sized = saved(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("size")))
-    sources = saved(plan(aims(sized.select("source", "size"), weights, share, most), block))
-    n_sources = sources.count()
-    placed = saved(lines(sized, sources, n_sources, sized.count()).join(_fit(sources.drop("source", "weight", "low", "high"), n_sources), "sid"))
+def _mix(docs: DataFrame, weights: tuple[int, ...], share: float, most: float, block: int, keys: tuple[str, ...] = ("doc_id", "source", "size")) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents with their places, their pieces by blocks, and the schedule's turns at the blocks.
+
+    docs has the keys; equal rows are counted first and placed together, then each has its own place.
+    """
+    counted = docs.groupBy(*keys).agg(F.count(F.lit(1)).alias("same"))
+    sized = saved(counted)
+    sources = saved(plan(targets(sized.select("source", (F.col("size") * F.col("same")).alias("size")), weights, share, most), block))
+    names = sources.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("source")).alias("longest")).first()
+    n_sources = names["n"] if (names["longest"] or 0) <= NAME else BROADCAST_ROWS + 1
+    placed = lines(sized, sources, n_sources, sized.count()).join(_fit(sources.drop("source", "weight", "low", "high"), n_sources), "sid")
+    ranges = F.sequence(F.lit(0).cast("long"), F.col("same") - 1, F.lit(EQUAL).cast("long"))
+    stretch = placed.withColumn("first_same", F.explode(ranges))
+    until = F.least(F.col("same"), F.col("first_same") + EQUAL) - 1
+    placed = saved(stretch.withColumn("nth", F.explode(F.sequence("first_same", until))).withColumn("start", F.col("start") + F.col("nth") * F.col("size")).drop("first_same", "same"))
     first, last = F.floor(F.col("start") / block).cast("long"), F.floor((F.col("start") + F.col("size") - 1) / block).cast("long")
     pieces = placed.filter("size > 0").withColumn("block", F.explode(F.sequence(first, last)))
     pieces = pieces.withColumns({"low": F.greatest(F.col("start"), F.col("block") * block), "high": F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block)})
@@ -133,14 +131,18 @@ def _mix(docs: DataFrame, size: Column, weights: tuple[int, ...], share: float,
     return placed, pieces, turns
 
 
+def _sizes(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(F.col("text")).alias("size"))
+
+
 def mixed_stream(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK_WORDS) -> DataFrame:
     """The mix itself: slot, doc_id, source, first_word, words; ordered by (slot, first place) it is the training order."""
-    _, pieces, turns = _mix(docs, n_words(F.col("text")), weights, share, most, block)
+    _, pieces, turns = _mix(_sizes(docs), weights, share, most, block)
     end = F.when(F.col("pass") < F.col("passes"), F.col("high")).otherwise(F.least("high", "rest"))
     return pieces.join(turns, ["sid", "block"]).withColumn("words", end - F.col("low")).filter("words > 0").select("slot", "doc_id", "source", (F.col("low") - F.col("start")).alias("first_word"), "words")
 
 
-def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK_WORDS, aims: Callable[..., DataFrame] = targets) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row per row of docs.
 
     A null text has size 0, and texts without words take part with taken 0. Rows with a null source are a source of
@@ -148,7 +150,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     have their own place. The words taken from a source are its target without its fraction. An empty table gives no
     rows. Columns other than doc_id, text and source are ignored.
     """
-    placed, pieces, turns = _mix(docs, n_words(F.col("text")), weights, share, most, block, aims)
+    placed, pieces, turns = _mix(_sizes(docs), weights, share, most, block)
     taken_blocks = turns.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("turns"))
     cut = F.greatest(F.least("high", "rest") - F.col("low"), F.lit(0))
     whole = (F.col("high") - F.col("low")) * F.least("turns", "passes") + F.when(F.col("turns") > F.col("passes"), cut).otherwise(F.lit(0))
@@ -158,15 +160,29 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: floa
     return got.select(*columns).unionByName(none.select(*columns))
 
 
-def repeated_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, extra: float = 0.5, most: float = 1.0) -> DataFrame:
-    """Every document once, and those of which the mix takes at least half beyond that a second time.
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, block: int = BLOCK_WORDS) -> DataFrame:
+    """The mix in whole documents: the rows and columns of docs, each as often as the mix takes it, in its order.
 
-    The copies bring the sources, with what they hold already, as near to their weights as copies alone can: see
-    extra_targets. The rows and columns of docs; the mix decides on whole documents, so none is cut. Rows whose doc_id is repeated
-    or null are decided together.
+    A document that begins in a block is dealt at each turn of its block, if at least half of it lies before the
+    place where its source's target is reached, so each source's words are its target but for one document. Texts
+    without words are in no slot and left out. Rows of one doc_id, source and text are alike to the mix: those of
+    them that it takes are any. An empty table gives no rows; columns may have any names.
     """
-    mix = mix_sources(docs, weights, extra, most, aims=extra_targets).groupBy("doc_id").agg(F.max(F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")).alias("again"))
-    # by a shuffle at every size: the copies grow with the documents
-    copies = saved(mix.filter("again > 0").withColumnRenamed("doc_id", "copied")).hint("merge")
-    joined = docs.join(copies, docs["doc_id"].cast("long").eqNullSafe(F.col("copied")), "left")
-    return joined.withColumn("copied", F.explode(F.sequence(F.lit(0), F.coalesce("again", F.lit(0))))).select(*[docs[c] for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), "source", "text")
+    own = own.select("row", "doc_id", "source", text_digest(F.col("text")).alias("copy"), n_words(F.col("text")).alias("size"))
+    placed, pieces, turns = _mix(own.drop("row"), weights, share, most, block, ("doc_id", "source", "copy", "size"))
+    keys = ("doc_id", "source", "copy")
+    starts = pieces.filter(F.col("block") == F.floor(F.col("start") / block)).select("sid", "block", "start", "size", "passes", "rest", "nth", *keys)
+    fits = 2 * F.least(F.col("rest") - F.col("start"), F.col("size")) >= F.col("size")
+    dealt = starts.join(turns, ["sid", "block"]).filter((F.col("pass") < F.col("passes")) | fits)
+    places = dealt.groupBy(*keys, "nth").agg(F.collect_list(F.struct("slot", "start")).alias("places"))
+    places = saved(places.withColumnsRenamed({k: f"of_{k}" for k in (*keys, "nth")})).hint("merge")
+    own = own.drop("size")
+    if placed.filter("nth > 0").isEmpty():
+        own = own.withColumn("nth", F.lit(0).cast("long"))
+    else:
+        own = own.withColumn("nth", (F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0))) - 1).cast("long"))
+    same = [own[k].eqNullSafe(places[f"of_{k}"]) for k in (*keys, "nth")]
+    joined = own.join(places, reduce(lambda a, b: a & b, same)).select("row", F.explode("places").alias("at"))
+    return joined.repartition(F.floor(F.col("at.slot") / STRETCH)).sortWithinPartitions("at.slot", "at.start").select("row.*")
