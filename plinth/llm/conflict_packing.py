@@ -9,16 +9,18 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections import Counter
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.llm.common import n_words, normalised, saved
 
 CAPACITY, SHARD_ROWS = 2048, 1024
-#: Bins of one shard are numbered below this.
-BINS = 1 << 32
+#: Bins of one partition are numbered below this.
+BINS = 1 << 40
 
 
 def pack(items: list[tuple[int, int, int]], capacity: int) -> list[int]:
@@ -47,46 +49,60 @@ def pack(items: list[tuple[int, int, int]], capacity: int) -> list[int]:
     return place
 
 
-def _pack_shard(capacity: int):
-    def pack_shard(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["size", "doc_id", "source", "cluster"], ascending=[False, True, True, True], ignore_index=True)
-        source_bit = {s: 1 << k for k, s in enumerate(dict.fromkeys(rows["source"]))}
-        many = Counter(rows["cluster"].tolist())
-        cluster_bit = {c: 1 << k for k, c in enumerate(c for c, n in many.items() if n > 1)}
-        items, meta = [], []
-        for r, (size, source, cluster) in enumerate(zip(rows["size"].tolist(), rows["source"], rows["cluster"].tolist(), strict=True)):
-            for piece, start in enumerate(range(0, size, capacity)):
-                length = min(capacity, size - start)
-                items.append((length, source_bit[source], cluster_bit.get(cluster, 0)))
-                meta.append((r, piece, start, length))
-        bins = pack(items, capacity)
-        slots: Counter = Counter()
-        out = []
-        for b, (r, piece, start, length) in zip(bins, meta, strict=True):
-            out.append((key[0] * BINS + b, slots[b], r, piece, start, length))
-            slots[b] += 1
-        frame = pd.DataFrame(out, columns=["bin_id", "slot", "row", "piece", "first_word", "length"])
-        return frame.assign(doc_id=rows["doc_id"].iloc[frame["row"]].to_numpy())[["bin_id", "slot", "doc_id", "piece", "first_word", "length"]]
-
-    return pack_shard
-
-
-def pack_documents(docs: DataFrame, capacity: int = CAPACITY, size: Column | None = None, cluster: Column | None = None, shard_rows: int = SHARD_ROWS) -> DataFrame:
+SCHEMA = pa.schema([("bin_id", pa.int64()), ("slot", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int64()), ("first_word", pa.int64()), ("length", pa.int64())])
+
+
+def _packed(rows: list[dict], capacity: int, first_bin: int) -> tuple[pa.RecordBatch, int]:
+    """The bins of one shard, numbered from first_bin on, and their number. Rows without words are in no bin."""
+    rows.sort(key=lambda r: (-r["size"], r["doc_id"] is None, r["doc_id"] or 0, r["source"] is None, r["source"] or "", r["cluster"]))
+    source_bit = {s: 1 << k for k, s in enumerate(dict.fromkeys(r["source"] for r in rows))}
+    many = Counter(r["cluster"] for r in rows)
+    cluster_bit = {c: 1 << k for k, c in enumerate(c for c, n in many.items() if n > 1)}
+    items, out = [], []
+    for r in rows:
+        for piece, start in enumerate(range(0, r["size"], capacity)):
+            length = min(capacity, r["size"] - start)
+            items.append((length, source_bit[r["source"]], cluster_bit.get(r["cluster"], 0)))
+            out.append([None, 0, r["doc_id"], piece, start, length])
+    bins = pack(items, capacity)
+    slots: Counter = Counter()
+    for b, row in zip(bins, out, strict=True):
+        row[:2] = first_bin + b, slots[b]
+        slots[b] += 1
+    out += [[None, 0, r["doc_id"], 0, 0, 0] for r in rows if not r["size"]]
+    columns = zip(*out, strict=True) if out else [[] for _ in SCHEMA]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, SCHEMA, strict=True)], schema=SCHEMA), max(bins, default=-1) + 1
+
+
+def pack_documents(docs: DataFrame, capacity: int = CAPACITY, size: Column | None = None, cluster: Column | None = None, shard_rows: int = SHARD_ROWS, deal: bool = True) -> DataFrame:
     """bin_id, slot, doc_id, piece, first_word, length: one row per piece of a document.
 
     Documents longer than capacity words are split without loss, and their pieces lie in different bins, as do equal
-    texts (white space aside) and documents of one source. Bins are filled within shards of about shard_rows
-    documents, dealt by doc_id. A text without words (or null) has one row with bin_id null and length 0; a null
-    source is a source. Rows with a null doc_id are packed with doc_id -1 in their place of the order and returned
-    with null; repeated rows are packed each. An empty table gives no rows. Columns other than doc_id, text and
-    source are ignored.
+    texts (white space aside) and documents of one source. Bins are filled within shards of shard_rows documents,
+    which follow each other in a partition, so no key can make one shard larger than others. Documents are dealt
+    to partitions in turn first, so that shards hold many sources however the table is sorted; without `deal` they
+    stay in its order, as suits a table that is mixed already. A text without words (or null) has one row with bin_id
+    null and length 0; a null source is a source. Null doc_ids stay null; repeated rows are packed each. An empty
+    table gives no rows. Columns other than doc_id, text and source are ignored.
     """
     size = n_words(F.col("text")) if size is None else size
     cluster = F.xxhash64(normalised(F.col("text"))) if cluster is None else cluster
-    rows = saved(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")).alias("source"), size.cast("long").alias("size"), cluster.alias("cluster")))
-    shards = max(1, -(-rows.count() // shard_rows))
-    full = rows.filter("size > 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", "cluster"), F.lit(shards)))
-    packed = full.groupBy("shard").applyInPandas(_pack_shard(capacity), "bin_id long, slot long, doc_id long, piece long, first_word long, length long")
-    null, zero = F.lit(None).cast("long"), F.lit(0).cast("long")
-    empty = rows.filter("size = 0").select(null.alias("bin_id"), zero.alias("slot"), "doc_id", zero.alias("piece"), zero.alias("first_word"), zero.alias("length"))
-    return packed.unionByName(empty).withColumn("doc_id", F.when(F.col("doc_id") != -1, F.col("doc_id")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.cast("long").alias("size"), cluster.alias("cluster"))
+    if deal:
+        rows = saved(rows)
+        rows = rows.repartition(max(1, -(-rows.count() // (4 * shard_rows))))
+
+    def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() * BINS
+        held: list[dict] = []
+        for batch in batches:
+            held += batch.to_pylist()
+            while len(held) >= shard_rows:
+                out, n = _packed(held[:shard_rows], capacity, first)
+                first += n
+                del held[:shard_rows]
+                yield out
+        if held:
+            yield _packed(held, capacity, first)[0]
+
+    return rows.mapInArrow(pack_partition, "bin_id long, slot long, doc_id long, piece long, first_word long, length long")
