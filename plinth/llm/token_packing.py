@@ -8,15 +8,19 @@ of ids comes with its cumulative segment lengths and the places where positions
 from __future__ import annotations
 
 import base64
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CAPACITY, SHARD_ROWS = 2048, 512
+#: Tokens of a row, and of the documents that are packed together.
+CAPACITY, SHARD_TOKENS = 2048, 1 << 19
+#: Rows of one partition are numbered below this.
+ROWS = 1 << 40
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 END, PAD = 50256, 0
 #: Fixed value: how this public vocabulary splits a text before merging.
@@ -72,8 +76,11 @@ def best_fit_decreasing(lengths: list[int], capacity: int) -> list[int]:
     return place
 
 
-def encoder(tokenizer: str = TOKENIZER) -> Callable[[], Callable[[str], list[int]]]:
-    """Makes, on an executor, the function from a text to its ids. The driver reads the file, so others need no copy."""
+def encoder(tokenizer: str = TOKENIZER) -> tuple[Callable[[], Callable[[str], list[int]]], int]:
+    """What makes, on an executor, the function from a text to its ids, and the greatest id of the vocabulary.
+
+    The driver reads the file, so executors need no copy of it.
+    """
     ranks = Path(tokenizer).read_bytes()
 
     def make() -> Callable[[str], list[int]]:
@@ -98,7 +105,7 @@ def encoder(tokenizer: str = TOKENIZER) -> Callable[[], Callable[[str], list[int
 
         return encode
 
-    return make
+    return make, max(int(line.split()[1]) for line in ranks.splitlines())
 
 
 def position_ids(segments: list[int], capacity: int) -> np.ndarray:
@@ -112,49 +119,62 @@ def position_ids(segments: list[int], capacity: int) -> np.ndarray:
 SCHEMA = pa.schema([("row_id", pa.int64()), ("ids", pa.binary()), ("n_tokens", pa.int32()), ("cu_seqlens", pa.list_(pa.int32())), ("position_resets", pa.list_(pa.int32())), ("doc_ids", pa.list_(pa.int64())), ("first_tokens", pa.list_(pa.int64()))])
 
 
-def _pack_shard(make: Callable, capacity: int, end: int):
-    ready: list[Callable] = []
-
-    def pack_shard(key: tuple, table: pa.Table) -> pa.Table:
-        if not ready:
-            ready.append(make())
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        docs, tokens, starts, lengths = table["doc_id"].to_pylist(), [], [], []
-        owner: list[int] = []
-        for r, text in enumerate(table["text"].to_pylist()):
-            ids = np.array([*ready[0](text), end], np.uint16)
-            tokens.append(ids)
-            for start in range(0, len(ids), capacity):
-                owner.append(r)
-                starts.append(start)
-                lengths.append(min(capacity, len(ids) - start))
-        place = best_fit_decreasing(lengths, capacity)
-        rows: list[list[int]] = [[] for _ in range(max(place, default=-1) + 1)]
-        for piece, row in enumerate(place):
-            rows[row].append(piece)
-        out: dict[str, list] = {name: [] for name in SCHEMA.names}
-        for n, pieces in enumerate(rows):
-            ids, cu = np.full(capacity, PAD, "<u2"), [0]
-            for p in pieces:
-                ids[cu[-1] : cu[-1] + lengths[p]] = tokens[owner[p]][starts[p] : starts[p] + lengths[p]]
-                cu.append(cu[-1] + lengths[p])
-            values = ((key[0].as_py() << 32) + n, ids.tobytes(), cu[-1], cu, cu[:-1], [docs[owner[p]] for p in pieces], [starts[p] for p in pieces])
-            for name, value in zip(SCHEMA.names, values, strict=True):
-                out[name].append(value)
-        return pa.table(out, SCHEMA)
-
-    return pack_shard
-
-
-def pack_tokens(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end: int = END, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def packed(docs: list[int | None], tokens: list[np.ndarray], capacity: int, first_row: int) -> pa.RecordBatch:
+    """The rows of one shard, numbered from first_row on: its documents by length, cut into pieces, best-fit decreasing."""
+    owner: list[int] = []
+    starts: list[int] = []
+    lengths: list[int] = []
+    for r, ids in enumerate(tokens):
+        for start in range(0, len(ids), capacity):
+            owner.append(r)
+            starts.append(start)
+            lengths.append(min(capacity, len(ids) - start))
+    place = best_fit_decreasing(lengths, capacity)
+    rows: list[list[int]] = [[] for _ in range(max(place, default=-1) + 1)]
+    for piece, row in enumerate(place):
+        rows[row].append(piece)
+    out: dict[str, list] = {name: [] for name in SCHEMA.names}
+    for n, pieces in enumerate(rows):
+        ids, cu = np.full(capacity, PAD, "<u2"), [0]
+        for p in pieces:
+            ids[cu[-1] : cu[-1] + lengths[p]] = tokens[owner[p]][starts[p] : starts[p] + lengths[p]]
+            cu.append(cu[-1] + lengths[p])
+        values = (first_row + n, ids.tobytes(), cu[-1], cu, cu[:-1], [docs[owner[p]] for p in pieces], [starts[p] for p in pieces])
+        for name, value in zip(SCHEMA.names, values, strict=True):
+            out[name].append(value)
+    return pa.RecordBatch.from_pydict(out, SCHEMA)
+
+
+def pack_tokens(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end: int = END, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """row_id, ids (capacity little-endian 16-bit ids), n_tokens, cu_seqlens, position_resets, doc_ids, first_tokens.
 
     One row per row of the matrices; its k-th segment is doc_ids[k] from its token first_tokens[k] on. Each document
-    ends with the id `end`, so an empty or null text has that one token. Packing is done within shards of about
-    shard_rows documents, dealt by doc_id. A null doc_id stays null in doc_ids; repeated rows are packed each. An
-    empty table gives no rows. Columns other than doc_id and text are ignored.
+    ends with the id `end`, so an empty or null text has that one token. No row moves: each partition packs its
+    documents in shards of shard_tokens (and the rest of the last document), so no key makes a shard larger than
+    others. A null doc_id stays null in doc_ids; repeated rows are packed each. An empty table gives no rows. Columns
+    other than doc_id and text are ignored. A vocabulary with ids above 16 bits is refused.
     """
-    shards = max(1, -(-docs.count() // shard_rows))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    return rows.groupBy("shard").applyInArrow(_pack_shard(encoder(tokenizer), capacity, end), "row_id long, ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, first_tokens array<long>")
+    make, most = encoder(tokenizer)
+    if max(most, end) > np.iinfo(np.uint16).max:
+        raise ValueError(f"ids up to {max(most, end)} do not fit into 16 bits")
+
+    def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = None
+        row = TaskContext.get().partitionId() * ROWS
+        ids: list[int | None] = []
+        tokens: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            encode = encode or make()
+            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
+                tokens.append(np.array([*encode(text.as_py() or ""), end], np.uint16))
+                ids.append(doc_id.as_py())
+                size += len(tokens[-1])
+                if size >= shard_tokens:
+                    yield (out := packed(ids, tokens, capacity, row))
+                    row, ids, tokens, size = row + len(out), [], [], 0
+        if ids:
+            yield packed(ids, tokens, capacity, row)
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(pack_partition, "row_id long, ids binary, n_tokens int, cu_seqlens array<int>, position_resets array<int>, doc_ids array<long>, first_tokens array<long>")
