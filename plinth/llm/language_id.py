@@ -6,7 +6,6 @@ is trained in numpy on a bounded sample of labelled texts and applied to every f
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +19,9 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from plinth.llm.common import held, unit_hash
 
 WIDTHS, FILTERS, EMBED, LENGTH = (2, 3, 4), 16, 6, 256
-#: Bounds of the training sample: documents per language (as expected by the sampling rate), passages per document.
-PER_LANGUAGE, PASSAGES, PASSAGE_CHARS = 1200, 3, 250
-LETTER = re.compile(r"[^\W\d_]")
+#: Bounds of the training sample: languages (those of most documents), and labelled documents of each of them (as
+#: expected by the sampling rate), which are learnt from as whole texts.
+LANGUAGES, PER_LANGUAGE = 500, 1200
 
 
 def text_bytes(text: str) -> bytes:
@@ -73,7 +72,7 @@ class ByteCnn:
         return [self.classes[k] for k in best], probs[np.arange(len(raw)), best].tolist()
 
 
-def train(texts: list[str], langs: list[str], epochs: int = 14, seed: int = 7) -> ByteCnn | None:
+def train(texts: list[str], langs: list[str], epochs: int = 30, seed: int = 7) -> ByteCnn | None:
     """Adam on crops of 12 to LENGTH bytes; None without any labelled text."""
     classes = sorted(set(langs))
     raw = [text_bytes(t) for t in texts]
@@ -136,22 +135,19 @@ def train(texts: list[str], langs: list[str], epochs: int = 14, seed: int = 7) -
     return net
 
 
-def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> pd.DataFrame:
-    """Passages and languages of about per_language documents of each language, the same in every run.
+def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE, languages: int = LANGUAGES) -> pd.DataFrame:
+    """Whole texts and languages of about per_language documents of each language, the same in every run.
 
-    Rows of the held-out fold, null languages, texts or ids are left out. Passages start at hashed places, so that
-    what reaches the driver is bounded by the number of languages, however long the texts are.
+    Rows of the held-out fold, null languages, texts or ids are left out. Rows are drawn by a hash of id and text, and
+    equal ones count once, so what reaches the driver is bounded by documents however often one is repeated.
     """
     rows = docs.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held(F.col("doc_id"), 4, 2))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()}
     if not counts:
-        return pd.DataFrame({"lang": [], "passage": []})
+        return pd.DataFrame({"lang": [], "text": []})
     rate = F.element_at(F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, per_language / n))]), F.col("lang"))
-    room = F.greatest(F.length("text") - PASSAGE_CHARS, F.lit(0)) + 1
-    starts = F.array(*[F.pmod(F.xxhash64(F.col("doc_id"), F.lit(i)), room).cast("int") + 1 for i in range(PASSAGES)])
-    passages = F.transform(F.array_distinct(starts), lambda s: F.substring(F.col("text"), s, F.lit(PASSAGE_CHARS)))
-    sample = rows.filter(unit_hash(F.col("doc_id")) < rate).select("lang", F.explode(passages).alias("passage"))
-    return sample.toPandas().sort_values(["lang", "passage"], ignore_index=True)
+    sample = rows.filter(unit_hash(F.col("doc_id"), F.col("text")) < rate).select("doc_id", "lang", "text").distinct()
+    return sample.toPandas().sort_values(["lang", "doc_id", "text"], ignore_index=True)
 
 
 def with_language(docs: DataFrame, per_language: int = PER_LANGUAGE, lang: str = "lang_pred", score: str = "score") -> DataFrame:
@@ -160,14 +156,14 @@ def with_language(docs: DataFrame, per_language: int = PER_LANGUAGE, lang: str =
     A column of docs by either name is replaced. See language_id for what odd rows get.
     """
     sample = training_sample(docs, per_language)
-    net = train(sample["passage"].tolist(), sample["lang"].tolist())
+    net = train(sample["text"].tolist(), sample["lang"].tolist())
     kept = [c for c in docs.columns if c not in (lang, score)]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = ["" if t is None else t for t in batch["text"].to_pylist()]
             langs, scores = ["und"] * len(texts), [0.0] * len(texts)
-            known = [i for i, t in enumerate(texts) if net and LETTER.search(t)]
+            known = [i for i, t in enumerate(texts) if net and any(map(str.isalpha, t))]
             start = 0
             while start < len(known):
                 stop, size = start, 0
@@ -180,7 +176,7 @@ def with_language(docs: DataFrame, per_language: int = PER_LANGUAGE, lang: str =
             yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], [*kept, lang, score])
 
     schema = StructType([docs.schema[c] for c in kept] + [StructField(lang, StringType()), StructField(score, DoubleType())])
-    return docs.select(*kept).mapInArrow(apply, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(apply, schema)
 
 
 def language_id(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
