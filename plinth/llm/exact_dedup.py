@@ -21,7 +21,7 @@ from plinth.llm.common import normalised, saved
 GEAR = np.random.default_rng(20250711).integers(0, 1 << 32, 256, dtype=np.uint32)
 WINDOW, LEAST, MOST, AVERAGE_BITS = 16, 256, 8192, 10
 #: Groups of more than this share of the rows are joined by broadcast: there are HOT of them at most.
-HOT, HOT_IDS = 1000, 4096
+HOT = 1000
 
 
 def rolling(data: np.ndarray) -> np.ndarray:
@@ -126,13 +126,12 @@ def exact_dedup(docs: DataFrame, width: int = 16) -> DataFrame:
     other than doc_id and text are ignored.
     """
     rows = saved(verified_recipes(docs, width))
-    groups = saved(rows.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    total = rows.count()
-    hot = (F.col("group_size") * HOT > total) & (F.col("group_size") > 1) & (F.length("recipe") <= HOT_IDS * width)
-    big = F.broadcast(groups.filter(hot))  # HOT rows of HOT_IDS identifiers at most
-    joined = rows.join(big, "recipe", "left")
-    columns = ("doc_id", "keep_id", "group_size", "text_sha256")
-    near = joined.filter("group_size is not null").select(*columns)
-    rest = rows.join(big, "recipe", "left_anti").join(groups.filter(~hot), "recipe").select(*columns)
+    # equal recipes are equal texts; each has one digest, which stands for it from here on
+    groups = saved(rows.groupBy("recipe", "text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).drop("recipe"))
+    hot = F.col("group_size") * HOT > rows.count()
+    big = F.broadcast(groups.filter(hot))  # HOT rows at most
+    own = rows.select("doc_id", "text_sha256")
+    near = own.join(big, "text_sha256")
+    rest = own.join(big, "text_sha256", "left_anti").join(groups.filter(~hot), "text_sha256")
     out = near.unionByName(rest).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
