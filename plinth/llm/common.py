@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]++"
 #: Runs of white space other than one single space; replacing them by one space normalises a text.
 SPACE_RUN = r"[\x09-\x0D][\x20\x09-\x0D]*+|\x20[\x20\x09-\x0D]++"
 
+#: A key of more than this share of the rows is hot.
+HOT = 1000
 #: Tables written within `temporary`, if any is open.
 _made: list[str] | None = None
 #: The folder of a local session without the setting.
@@ -100,6 +102,20 @@ def unused(name: str, df: DataFrame) -> str:
     return name
 
 
+def hot_keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys of more than one row in HOT: there are fewer than HOT of them."""
+    counts = saved(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return saved(counts.filter(F.col("n") * HOT > total).select(key))
+
+
+def joined(df: DataFrame, by_key: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """df with by_key, which has at most one row for each key. Rows of hot keys stay where they are."""
+    hot = F.broadcast(hot.filter(F.col(key).isNotNull()))
+    stay = df.join(F.broadcast(by_key.join(hot, key, "left_semi")), key)
+    return stay.unionByName(df.join(hot, key, "left_anti").join(by_key, key))
+
+
 def held(column: Column, folds: int, fold: int) -> Column:
     """Whether crc32(column as text) mod folds equals fold; false for null."""
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % folds == fold, F.lit(False))

@@ -202,6 +202,40 @@ def test_pii_patterns_find_more(spark):
     assert rows[0]["spans"].startswith("phone:12:") and not any(rows[i]["n_found"] for i in range(11, len(texts)))
 
 
+def test_pii_long_texts_and_names(spark):
+    rng = random.Random(7)
+    pieces = ["a.b@c.d ", "1.2.3.4 ", "4111 1111 1111 1111, ", "+1 (743) 555-3824; ", "x@y ", "743-555-9911 "]
+    many = "".join(rng.choice(pieces) for _ in range(100_000))
+    texts = [many, "x" * 1_000_000 + " @ 1.2.3.4", "7" * 1_000_000 + " @ 1.1.1.1", "a@" + "b." * 100_000 + "c", "a@b.c%d@e.f@g.h+i@j.k", "." * 300_000 + "@a.b"]
+    start = time.time()
+    rows = rows_of(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert time.time() - start < 90
+    for i, text in enumerate(texts):
+        if i not in (1, 2, 5):  # where the plain patterns take hours
+            assert rows[i]["base_sha256"] == hashlib.sha256(base_spans(text).encode()).hexdigest(), text[:50]
+    assert rows[1]["spans"].startswith("ip:") and rows[1]["n_ip"] == rows[2]["n_ip"] == rows[5]["n_email"] == 1
+
+
+def test_pii_patterns_of_long_words(spark):
+    word = "w" * 300
+    texts = [f"{word} +1 (743) 555-38{i:02d} {word}" for i in range(10)] + [f"{word} 743-555-9911 {word}", f"{word}x 743-555-9912 {word}", f"{word} 743-555-9913. {word}"]
+    texts += [f"mail {'n' * 250}{i}@host.org now" for i in range(10)] + [f"mail {'n' * 300}@host now"]
+    rows = rows_of(pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert rows[10]["spans"] == "phone:301:313" and rows[11]["n_found"] == 0 and rows[23]["spans"] == "email:5:310"
+
+
+def test_pii_others_keep_off_base_entities(spark):
+    rng = random.Random(2)
+    rows = []
+    for _ in range(60):
+        items = [(s, rng.choice([-1, -1, 0, 1]), s + rng.randint(1, 9)) for s in (rng.randrange(400) for _ in range(rng.randint(0, 60)))]
+        rows.append(([(*x, "m", "", "", "") for x in items if x[1] >= 0], [(*x, "m", "", "", "") for x in items if x[1] < 0]))
+    df = spark.createDataFrame(rows, f"base array<{pii.ENTITY}>, other array<{pii.ENTITY}>")
+    for r in df.withColumn("free", pii.outside(F.col("base"), F.col("other"))).collect():
+        want = [(o["s"], o["e"]) for o in r["other"] if not any(b["s"] < o["e"] and o["s"] < b["e"] for b in r["base"])]
+        assert sorted((o["s"], o["e"]) for o in r["free"]) == sorted(want)
+
+
 def test_pii_odd(odd):
     got = pii.find_pii(odd).collect()
     assert len(got) == odd.count() and all(r["spans"] == "" for r in got)
