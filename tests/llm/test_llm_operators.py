@@ -150,10 +150,40 @@ def test_nearest_repeated_rows_count_once(spark):
     got = nearest.nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()
     assert [(r["rank"], r["vec_id"]) for r in got] == list(enumerate(want, 1))
     np.testing.assert_allclose([r["score"] for r in got], s[want], rtol=1e-12)
-    truth = nearest.brute_force(df.select("vec_id", F.col("embedding").alias("v")).coalesce(1), [(0, x[0].tolist())], 5)
+    truth = nearest.brute_force(nearest.usable(df).coalesce(1), [(0, x[0].tolist())], 5)
     assert truth.sort_values("rank").vec_id.tolist() == want
 
 
+def test_nearest_finds_k_whatever_the_leaves_hold(spark, monkeypatch):
+    """Hot leaves of equal rows, several lengths, tiny and huge values, null ids and clashing columns."""
+    monkeypatch.setattr(nearest, "LEAF", 20)
+    monkeypatch.setattr(nearest, "BLOCK", 50)
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(400, 5))
+    rows = [(50, [0.2, 0.0, 0.0, 1.0, 0.0])] + [(7, [0.21, 0.0, 0.0, 1.0, 0.0])] * 6 + [(1000 + i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(3000 + i, [1.0, 1.0, 1.0, 1.0, 1.0]) for i in range(200)] + [(4000 + i, v[:3].tolist()) for i, v in enumerate(x[:60])]
+    rows += [(5000, (x[0] * 1e-300).tolist()), (5001, (x[1] * 1e300).tolist()), (None, [1.0] * 5), (5050, []), (5100, None), (6000, [1.0, 2.0])]
+    df = spark.createDataFrame([(*r, 1, 2, "z") for r in rows], "vec_id long, embedding array<double>, leaf long, block int, n string")
+    got = nearest.nearest(df, F.col("vec_id") % 50 == 0, recall=0.5).toPandas()
+    good = [(i, np.array(v)) for i, v in rows if i is not None and v]
+    hits = wanted = 0
+    for q in sorted({i for i, _ in good if i % 50 == 0}):
+        best = {}
+        for own in (v for i, v in good if i == q):
+            for i, v in good:
+                if i != q and len(v) == len(own):
+                    a, b = own / np.abs(own).max(), v / np.abs(v).max()
+                    best[i] = max(best.get(i, -2), float(a @ b / np.linalg.norm(a) / np.linalg.norm(b)))
+        g = got[got.query_id == q].sort_values("rank")
+        assert len(g) == min(5, len(best)) and g["rank"].tolist() == list(range(1, len(g) + 1)) and g.vec_id.is_unique
+        np.testing.assert_allclose(g.score, [best[i] for i in g.vec_id], rtol=1e-9)
+        hits += len(set(g.vec_id) & set(sorted(best, key=lambda i: (-round(best[i], 12), i))[:5]))
+        wanted += len(g)
+    assert set(got.query_id) == {i for i, v in good if i % 50 == 0 and i != 6000} and hits >= 0.5 * wanted
+    every = nearest.nearest(df, F.col("vec_id") == 50, recall=1.0).toPandas()
+    assert len(every) == 5 and every.vec_id.is_unique
+
+
 # --- 3: personal data ---
 
 PATTERNS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
