@@ -33,7 +33,9 @@ TOKEN = r"[A-Za-z][A-Za-z0-9_-]{2,}|[0-9]+(?:[.\-][0-9]+)*|[\x{4e00}-\x{9fff}]{2
 CUES = ("如图", "由图", "见图", "根据图", "从图", "可知", "可见", "表明", "显示", "as shown", "shown in", "shows", "indicates")
 LINES = r"\R|[\x1c-\x1e]"
 LEAST_SENTENCE, LONGEST_DESCRIPTION = 8, 1000
-SPAN = "array<struct<s:int,e:int,m:string>>"
+HIT = "struct<s:int,e:int,m:string>"
+#: Items of a pass that are gathered at once.
+STRETCH = 256
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -50,18 +52,38 @@ def blank_to_null(x: Column) -> Column:
     return F.when(x != "", x)
 
 
+def scanned(items: Column, state: Column, out: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """What one pass over items gives: step makes of the state and an item the next state and one output (of type out).
+
+    Outputs are gathered in stretches of STRETCH and the stretches then, so that no array grows item by item for long.
+    """
+    empty = F.array().cast(f"array<{out}>")
+    first = F.array(F.struct(state.alias("state"), empty.alias("out")))
+
+    def one(acc: Column, x: Column) -> Column:
+        after, value = step(acc["state"], x)
+        return F.struct(after.alias("state"), F.concat(acc["out"], F.array(value)).alias("out"))
+
+    def over(all_: Column) -> Column:
+        def stretch(acc: Column, at: Column) -> Column:
+            start = F.struct(F.element_at(acc, -1)["state"].alias("state"), empty.alias("out"))
+            return F.concat(acc, F.array(F.aggregate(F.slice(all_, at, STRETCH), start, one)))
+
+        starts = F.when(F.size(all_) > 0, F.sequence(F.lit(1), F.size(all_), F.lit(STRETCH))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(starts, first, stretch)
+
+    return F.flatten(F.transform(let(items, over), lambda x: x["out"]))
+
+
 def matches(text: Column, pattern: str) -> Column:
     """All matches of a pattern: start, end, match."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + F.length(x["a"])
-        hit = F.struct(s.alias("s"), (s + F.length(x["m"])).alias("e"), x["m"].alias("m"))
-        return F.struct((s + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(hit)).alias("out"))
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        s = at + F.length(x["a"])
+        return s + F.length(x["m"]), F.struct(s.alias("s"), (s + F.length(x["m"])).alias("e"), x["m"].alias("m"))
 
     def walk(x: Column) -> Column:
-        pairs = F.arrays_zip(F.slice(x["parts"], 1, F.size(x["found"])).alias("a"), x["found"].alias("m"))
-        return F.aggregate(pairs, start, step)["out"]
+        return scanned(F.arrays_zip(F.slice(x["parts"], 1, F.size(x["found"])).alias("a"), x["found"].alias("m")), F.lit(0), HIT, step)
 
     return let(_pieces(text, pattern), walk)
 
@@ -92,28 +114,26 @@ def distinct_texts(texts: Column) -> Column:
 
 
 def without_noise(text: Column) -> Column:
-    """Images, inline code and links of Markdown as spaces."""
+    """Images, inline code and links of Markdown as a space."""
     for pattern in (IMAGE, r"`[^`]*`", r"\[[^\]]+\]\([^)]+\)"):
-        text = masked(text, pattern)
+        text = F.regexp_replace(text, pattern, " ")
     return text
 
 
-def sentences(text: Column, keep_tail: bool = False) -> Column:
-    """Sentences of LEAST_SENTENCE characters: s, e, m (compacted). An unterminated tail counts only with keep_tail."""
-    parts = F.split(text, SENTENCE_END, -1)
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+def sentences(text: Column) -> Column:
+    """Sentences of LEAST_SENTENCE characters and an unterminated tail: s, e, m (compacted)."""
 
-    def step(acc: Column, x: Column) -> Column:
-        e = acc["at"] + F.length(x)
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(acc["at"].alias("s"), e.alias("e"), compact(x).alias("m")))).alias("out"))
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        e = at + F.length(x)
+        return e, F.struct(at.alias("s"), e.alias("e"), compact(x).alias("m"))
 
-    cut = F.aggregate(parts, start, step)["out"]
-    cut = cut if keep_tail else let(cut, lambda c: F.slice(c, 1, F.size(c) - 1))
-    return F.filter(cut, lambda x: F.length(x["m"]) >= LEAST_SENTENCE)
+    return F.filter(scanned(F.split(text, SENTENCE_END, -1), F.lit(0), HIT, step), lambda x: F.length(x["m"]) >= LEAST_SENTENCE)
 
 
 def complete_sentences(text: Column) -> Column:
-    return F.transform(sentences(without_noise(text)), lambda x: x["m"])
+    """Terminated sentences of LEAST_SENTENCE characters, compacted."""
+    done = let(F.split(without_noise(text), SENTENCE_END, -1), lambda c: F.slice(c, 1, F.size(c) - 1))
+    return F.filter(F.transform(done, compact), lambda x: F.length(x) >= LEAST_SENTENCE)
 
 
 def tokens(text: Column) -> Column:

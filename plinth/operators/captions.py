@@ -85,7 +85,11 @@ def _repeated_figure(text: Column, number: Column) -> Column:
 
 
 def _phrase(text: Column) -> Column:
-    starts = F.array(*[_before(text, f"(?iU){p}") for p in PHRASES])
+    """Start of the first phrase after the beginning. Those that follow white space are looked for at once: a compacted
+    text begins with none, and the first match of all is the least of their first matches."""
+    after_space = [p.removeprefix(r"\s+") for p in PHRASES if p.startswith(r"\s+")]
+    patterns = [rf"\s+(?:{'|'.join(after_space)})", *(p for p in PHRASES if not p.startswith(r"\s+"))]
+    starts = F.array(*[_before(text, f"(?iU){p}") for p in patterns])
     return F.array_min(F.filter(starts, lambda s: s > 0))
 
 

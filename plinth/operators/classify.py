@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plinth.functions import taxonomy as T
+from plinth.functions import text as X
 
 REPLACED = "replaced_by_bbox_stitched_figure"
 UNCERTAIN, SEVERAL = "multiple_figure_ids_caption_assignment_uncertain", "multiple_figure_ids_in_caption"
@@ -32,14 +33,17 @@ def classification_text() -> Column:
 
 
 def figure_class(text: Column, caption: Column, options: Options) -> Column:
-    """The first rule that holds gives the class: special rules, the classes' keywords, then what models said."""
+    """The first rule that holds gives the class: special rules, the classes' keywords, then what models said.
+
+    text and caption are the words found in the figure's text and caption.
+    """
     kw = options.keywords
 
     def in_text(words: Iterable[str]) -> Column:
-        return T.any_hit(text, words)
+        return T.any_of(text, words)
 
     def in_caption(words: Iterable[str]) -> Column:
-        return T.any_hit(caption, words)
+        return T.any_of(caption, words)
 
     no_caption = (_text("caption") == "") | F.col("caption_source").eqNullSafe("pseudo_caption")
     counted = in_caption(T.NMR_QUANTIFICATION) | (no_caption & in_text(T.NMR_QUANTIFICATION))
@@ -82,7 +86,7 @@ def is_ocr_suspect() -> Column:
 
 def _selection(text: Column, options: Options) -> Column:
     """Struct of exclude_reason (null: selected) and maybe_useful for what is no fragment."""
-    science = T.any_hit(text, [k for c in T.VISION_CLASSES for k in options.keywords[c]])
+    science = T.any_of(text, [k for c in T.VISION_CLASSES for k in options.keywords[c]])
     c = F.col("figure_class")
 
     def kept(flag: bool, reason: str) -> Column:
@@ -97,8 +101,8 @@ def _selection(text: Column, options: Options) -> Column:
         F.when(c.isin(*T.JUNK_CLASSES), out(c))
         .when(unknown, out(F.lit("unknown_without_caption")))
         .when(c == "schematic_or_flow", kept(options.include_schematics_for_vision, "maybe_useful_schematic"))
-        .when(photo & T.any_hit(text, T.MATERIAL_STATE), kept(options.include_material_state_photos, "maybe_useful_material_state_photo"))
-        .when(photo & T.any_hit(text, T.SPINNABILITY), kept(options.include_spinnability_photos_for_vision, "maybe_useful_spinnability_photo"))
+        .when(photo & T.any_of(text, T.MATERIAL_STATE), kept(options.include_material_state_photos, "maybe_useful_material_state_photo"))
+        .when(photo & T.any_of(text, T.SPINNABILITY), kept(options.include_spinnability_photos_for_vision, "maybe_useful_spinnability_photo"))
         .when(c.isin(*T.VISION_CLASSES), out(F.lit(None)))
         .when(F.col("clip_decision").eqNullSafe("positive") & science, out(F.lit(None)))
         .when(F.col("clip_decision").eqNullSafe("negative") & ~science, out(F.lit("clip_negative")))
@@ -109,9 +113,12 @@ def _selection(text: Column, options: Options) -> Column:
 def classify(figures: DataFrame, options: Options = Options()) -> DataFrame:
     """Fills keyword_hits, figure_class, the selection columns and review_reason. A row's existing review_reason (from
     merging fragments) moves to merge_review_reason."""
-    text = F.col("_text")
-    rows = figures.withColumn("_text", classification_text())
-    rows = rows.withColumns({"keyword_hits": T.keyword_hits(text, T.all_keywords(options.keywords)), "figure_class": figure_class(text, F.lower(_text("caption")), options), "merge_review_reason": F.col("review_reason")})
+    text, caption = F.col("_words.text"), F.col("_words.caption")
+    words = X.let(classification_text(), lambda t: T.found_words(t, T.every_word(options.keywords)))
+    own = X.let(F.lower(_text("caption")), lambda t: T.found_words(t, T.caption_words(options.keywords)))
+    # through a generator of one row each, so that the texts are searched once, whatever is asked or filtered later
+    rows = figures.select("*", F.explode(F.array(F.struct(words.alias("text"), own.alias("caption")))).alias("_words"))
+    rows = rows.withColumns({"keyword_hits": T.keyword_hits(text, T.all_keywords(options.keywords)), "figure_class": figure_class(text, caption, options), "merge_review_reason": F.col("review_reason")})
     rows = rows.withColumn("_chosen", _selection(text, options))
     fragment = F.coalesce("is_fragment", F.lit(False))
     grouped = F.coalesce("fragment_group_id", F.lit("")) != ""
@@ -120,16 +127,21 @@ def classify(figures: DataFrame, options: Options = Options()) -> DataFrame:
     sent = ~fragment & F.col("exclude_reason").isNull()
     rows = rows.withColumns({"keep_for_archive": F.lit(True), "maybe_useful": ~fragment & F.col("_chosen.maybe"), "send_to_vision_model": sent, "keep": sent, "keep_reason": F.when(sent, F.concat(F.lit("vision_"), "figure_class")).otherwise(F.col("exclude_reason"))})
     reason = F.col("caption_truncation_reason")
-    mapping = T.any_hit(text, options.keywords["elemental_mapping"])
+    mapping = T.any_of(text, options.keywords["elemental_mapping"])
     review = (
         F.when(is_ocr_suspect(), "caption_ocr_suspect")
         .when(reason.isin(UNCERTAIN, SEVERAL), reason)
         .when(F.coalesce("caption_cleaned", F.lit(False)) & (F.coalesce(reason, F.lit("")) != ""), "caption_truncated")
         .when(mapping & (F.col("figure_class") != "elemental_mapping"), "taxonomy_conflict")
         .when(F.col("figure_class") == "other", "figure_class_other")
-        .when(T.any_hit(text, T.FALSE_CANDIDATE) & ~F.col("send_to_vision_model") & ~fragment, "scientific_figure_not_sent_to_vision")
+        .when(T.any_of(text, T.FALSE_CANDIDATE) & ~F.col("send_to_vision_model") & ~fragment, "scientific_figure_not_sent_to_vision")
     )
-    return rows.withColumn("review_reason", review).drop("_text", "_chosen")
+    return rows.withColumn("review_reason", review).drop("_words", "_chosen")
+
+
+def names_science() -> Column:
+    """Whether a figure's text holds a word of those that false candidates are known by."""
+    return T.any_of(X.let(classification_text(), lambda t: T.found_words(t, T.FALSE_CANDIDATE)), T.FALSE_CANDIDATE)
 
 
 def _not_replaced() -> Column:
@@ -138,7 +150,7 @@ def _not_replaced() -> Column:
 
 def false_candidates(figures: DataFrame) -> DataFrame:
     """Rows with scientific keywords that are not sent to the vision model, schematics aside."""
-    return figures.filter(~F.col("send_to_vision_model") & _not_replaced() & (F.col("figure_class") != "schematic_or_flow") & T.any_hit(classification_text(), T.FALSE_CANDIDATE))
+    return figures.filter(~F.col("send_to_vision_model") & _not_replaced() & (F.col("figure_class") != "schematic_or_flow") & names_science())
 
 
 def review_candidates(figures: DataFrame) -> DataFrame:

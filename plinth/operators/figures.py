@@ -177,7 +177,8 @@ def rewritten_paths(papers: DataFrame, images: DataFrame) -> DataFrame:
     new = tokens.join(images.select("paper_id", "raw_path", "image_path"), ["paper_id", "raw_path"], "left").filter(local & F.col("image_path").isNotNull())
     edits = new.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("position", "end", F.concat(F.lit("!["), "alt_text", F.lit("]("), "image_path", F.lit(")")).alias("new")))).alias("edits"))
     rows = papers.join(edits, "paper_id", "left")
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
     text = F.col("markdown")
-    done = F.aggregate(F.col("edits"), start, lambda acc, x: F.struct(x["end"].alias("at"), F.concat(acc["out"], X.window(text, acc["at"], x["position"]), x["new"]).alias("out")))
-    return rows.select("paper_id", F.when(F.col("edits").isNull(), text).otherwise(F.concat(done["out"], X.window(text, done["at"], F.length(text)))).alias("markdown"))
+    # the text before each edit and its new words, then what follows the last one
+    pieces = X.scanned(F.col("edits"), F.lit(0), "string", lambda at, x: (x["end"], F.concat(X.window(text, at, x["position"]), x["new"])))
+    done = F.concat(F.array_join(pieces, ""), X.window(text, F.element_at("edits", -1)["end"], F.length(text)))
+    return rows.select("paper_id", F.when(F.col("edits").isNull(), text).otherwise(done).alias("markdown"))

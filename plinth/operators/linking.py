@@ -25,7 +25,7 @@ def sentences(papers: DataFrame) -> DataFrame:
         return F.when(caption, F.concat(F.repeat(F.lit(" "), F.length(body)), F.substring(x, F.length(body) + 1, F.length(x)))).otherwise(x)
 
     clean = F.array_join(F.transform(parts, line), "")
-    rows = papers.select("paper_id", F.posexplode(X.sentences(clean, keep_tail=True)).alias("sent_idx", "x"))
+    rows = papers.select("paper_id", F.posexplode(X.sentences(clean)).alias("sent_idx", "x"))
     return rows.select("paper_id", "sent_idx", F.col("x.s").alias("start"), F.col("x.e").alias("end"), F.col("x.m").alias("sentence"))
 
 

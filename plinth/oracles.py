@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from plinth.functions import taxonomy as T
+from plinth.oracle_cases import ORACLES as CASES
 from plinth.plans.papers import papers_sql
 
 SPACE = r"[\x09-\x0D\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
@@ -158,4 +159,5 @@ SELECT vec_id, {PROMPTS}[list_position(s, top)] AS clip_label, top AS clip_score
   CASE WHEN good >= bad * 1.05 THEN 'positive' WHEN bad >= good * 1.05 THEN 'negative' ELSE 'uncertain' END AS clip_decision FROM m""",
     "base64_checks": """SELECT item_id, octet_length(encode(text)) > 50 AS valid, '.png' AS extension, sha256(text) AS hash FROM benchmark""",
     "safe_data_ids": r"""SELECT p_partkey, left(concat(left(coalesce(nullif(regexp_replace(regexp_replace(p_name, '[^A-Za-z0-9_.\-]', '_', 'g'), '^[._-]+|[._-]+$', '', 'g'), ''), 'paper'), 110), '-', left(sha1(p_name), 10)), 128) AS data_id FROM part""",
+    **CASES,
 }

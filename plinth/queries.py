@@ -17,6 +17,7 @@ from plinth.operators import fragments as H
 from plinth.operators import linking as L
 from plinth.operators import summary as K
 from plinth.operators import tables as B
+from plinth.plans import cases
 from plinth.plans.papers import papers
 from plinth.sources import layout as Y
 
@@ -91,7 +92,8 @@ def rewritten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = taxonomy.keyword_hits(C.classification_text(), taxonomy.all_keywords())
+    words = X.let(C.classification_text(), lambda t: taxonomy.found_words(t, taxonomy.all_keywords()))
+    hits = taxonomy.keyword_hits(words, taxonomy.all_keywords())
     return _figures(spark, sf_dir).select("paper_id", "position", F.array_join(hits, "|").alias("keyword_hits"))
 
 
@@ -242,6 +244,80 @@ def safe_data_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "part").select("p_partkey", X.safe_data_id(F.col("p_name")).alias("data_id"))
 
 
+def _case_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cases.extraction(spark, sf_dir).figures
+
+
+def case_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, captions, labels and sections of the figures of the known papers."""
+    rows = _case_rows(spark, sf_dir)
+    return rows.select("paper_id", "position", "is_merged_figure", "figure_id", "subfigure_index", "subfigure_label", "caption", "caption_source", "caption_cleaned", "caption_truncation_reason", "section_title")
+
+
+def case_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference sentences, best first, and descriptions of the figures of the known papers."""
+    return _case_rows(spark, sf_dir).select("paper_id", "position", "is_merged_figure", F.array_join("reference_sentences", "|").alias("sentences"))
+
+
+def case_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes, selection and review of the figures of the known papers."""
+    return _case_rows(spark, sf_dir).select("paper_id", "position", "is_merged_figure", "figure_class", "send_to_vision_model", "exclude_reason", "review_reason", "merge_review_reason")
+
+
+def case_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages, boxes and fragment marks of the figures of the known papers, from the three layout dialects."""
+    box = [F.get("bbox", F.lit(i)).alias(c) for i, c in enumerate(("x0", "y0", "x1", "y1"))]
+    return _case_rows(spark, sf_dir).select("paper_id", "position", "is_merged_figure", "page_idx", *box, "bbox_source", "is_fragment", "fragment_index", "fragment_group_id", "fragment_merge_confidence", "merge_mode", "image_origin", F.size("source_fragment_ids").alias("n_sources"))
+
+
+def case_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All counts of the known papers."""
+    done = cases.extraction(spark, sf_dir)
+    return K.raw_image_counts(done.papers).join(K.counts(done.figures), "paper_id")
+
+
+def case_merge_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.merge_mode_counts(_case_rows(spark, sf_dir))
+
+
+def case_captions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cases.captions(spark, sf_dir)
+    rows = rows.select("p_partkey", P.caption_details(F.col("raw"), F.coalesce("figure_id", X.figure_id(F.col("raw"))["id"])).alias("d"))
+    return rows.select("p_partkey", "d.caption", F.array_join("d.refs", "|").alias("following"), "d.reason")
+
+
+def case_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cases.figures(spark, sf_dir).select("position", "figure_class", "send_to_vision_model", "maybe_useful", "exclude_reason", "review_reason")
+
+
+def case_selection_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same figures with every option turned."""
+    turned = C.Options(include_material_state_photos=False, include_schematics_for_vision=True, include_spinnability_photos_for_vision=False)
+    return cases.figures(spark, sf_dir, turned).select("position", "send_to_vision_model", "exclude_reason")
+
+
+def case_false_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.false_candidates(cases.figures(spark, sf_dir)).select("position")
+
+
+def case_review_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.review_candidates(cases.figures(spark, sf_dir)).select("position")
+
+
+def image_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that start like images of each kind: what they are taken for."""
+    heads = F.array(*[F.unhex(F.lit(h)) for h in ("FFD8FF", "474946383961", "524946460000000057454250", "424D", "89504E470D0A1A0A")])
+    content = F.concat(F.get(heads, F.pmod(F.col("item_id"), F.lit(5)).cast("int")), F.left("text", F.lit(9)).cast("binary"))
+    rows = _table(spark, sf_dir, "benchmark").select("item_id", F.base64(content).alias("b"))
+    return rows.select("item_id", X.image_extension(F.col("b")).alias("extension"), X.is_base64_image(F.col("b")).alias("valid"))
+
+
+def distinct_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a text, the text with other white space, and an empty one, one is left; its length tells which."""
+    both = F.array(F.concat(F.lit("  "), "text"), F.col("text"), F.lit(" "), F.concat("text", F.lit("\n")))
+    return _table(spark, sf_dir, "documents").select("doc_id", X.distinct_texts(F.filter(both, lambda t: t.isNotNull())).alias("d")).select("doc_id", F.size("d").alias("n"), F.length(F.get("d", F.lit(0))).alias("chars"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -249,6 +325,8 @@ QUERIES: dict[str, Query] = {
         keyword_hits, classify, vision_select, review_reasons, false_candidates, review_candidates, class_histogram,
         merge_mode_counts, stage_summary, sentence_counts, compact_documents, dedupe_by_hash, token_counts, chem_normalize,
         subfigure_labels, html_table_cells, table_shapes, table_captions, replaced_tables, layout_records, layout_join, fragment_groups,
-        union_bbox, merge_confidence, bbox_overlap, clip_decision, base64_checks, safe_data_ids,
+        union_bbox, merge_confidence, bbox_overlap, clip_decision, base64_checks, safe_data_ids, case_figures, case_links, case_classes,
+        case_fragments, case_summary, case_merge_modes, case_captions, case_selection, case_selection_options,
+        case_false_candidates, case_review_candidates, image_heads, distinct_texts,
     )
 }

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import struct
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,22 +15,35 @@ from pyspark.sql import functions as F
 from plinth.sources.layout import base_name
 
 
+#: What of an image is read for its size: headers may hold a preview of 64 KB or more before it.
+HEAD = 1 << 18
+
+
 def binary_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").load(path)
 
 
 def archive_members(files: DataFrame) -> DataFrame:
-    """path, member, content: the files inside zip archives (path, content)."""
+    """path, member, content, error: the files inside zip archives (path, content), one by one.
+
+    An archive that cannot be read (to its end) has a row with an error and no member; the others go on.
+    """
+
+    def row(path: str, member: str | None, content: bytes | None, error: str | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"path": pa.array([path]), "member": pa.array([member], pa.string()), "content": pa.array([content], pa.binary()), "error": pa.array([error], pa.string())})
 
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for info in z.infolist():
-                        if not info.is_dir():
-                            yield pa.RecordBatch.from_pydict({"path": pa.array([path]), "member": pa.array([info.filename]), "content": pa.array([z.read(info)], pa.binary())})
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
+                        for info in z.infolist():
+                            if not info.is_dir():
+                                yield row(path, info.filename, z.read(info), None)
+                except (zipfile.BadZipFile, zlib.error, EOFError, OSError, RuntimeError, NotImplementedError) as e:
+                    yield row(path, None, None, str(e)[:200])
 
-    return files.select("path", "content").mapInArrow(unzip, "path string, member string, content binary")
+    return files.select("path", "content").mapInArrow(unzip, "path string, member string, content binary, error string")
 
 
 def papers_from_members(members: DataFrame) -> DataFrame:
@@ -90,7 +104,7 @@ def image_sizes(images: DataFrame) -> DataFrame:
             found = [image_header(c) or (None, None) for c in batch["head"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["image_path"], batch["image_hash"], pa.array([w for w, _ in found], pa.int32()), pa.array([h for _, h in found], pa.int32())], ["image_path", "image_hash", "width", "height"])
 
-    rows = images.select("image_path", F.sha2("content", 256).alias("image_hash"), F.col("content").alias("head"))
+    rows = images.select("image_path", F.sha2("content", 256).alias("image_hash"), F.substring("content", 1, HEAD).alias("head"))
     return rows.mapInArrow(read, "image_path string, image_hash string, width int, height int")
 
 

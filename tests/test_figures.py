@@ -1,16 +1,22 @@
 import json
+import struct
+import zipfile
+import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from plinth.functions import models, taxonomy
+from plinth.functions import images, models, taxonomy
 from plinth.operators import classify as C
 from plinth.operators import figures as G
 from plinth.operators import fragments as H
 from plinth.operators import linking as L
+from plinth.operators import stitching
 from plinth.operators import summary as K
 from plinth.operators import tables as B
+from plinth.plans import run
 from plinth.plans.extraction import extract
-from plinth.sources import files, layout, sinks
+from plinth.sources import files, layout, settings, sinks
 
 
 def paper(spark, text, name="p"):
@@ -38,8 +44,8 @@ def test_two_captions_for_three_images(spark):
 
 def test_copies_and_unknown_figures(spark):
     text = "![](a.png)\n\nNothing here.\n\n![](b.png)\n\nNothing.\n\n![](c.png)\n"
-    images = spark.createDataFrame([("p", "a.png", "/a", "h1"), ("p", "b.png", "/b", "h1"), ("p", "c.png", "/c", "h2")], "paper_id string, raw_path string, image_path string, image_hash string")
-    rows = G.figure_rows(paper(spark, text), images).orderBy("position").collect()
+    local = spark.createDataFrame([("p", "a.png", "/a", "h1"), ("p", "b.png", "/b", "h1"), ("p", "c.png", "/c", "h2")], "paper_id string, raw_path string, image_path string, image_hash string")
+    rows = G.figure_rows(paper(spark, text), local).orderBy("position").collect()
     assert [(r["figure_id"], r["image_path"]) for r in rows] == [("Unknown Figure 1", "/a"), ("Unknown Figure 2", "/c")]
 
 
@@ -126,13 +132,13 @@ def test_files(spark, tmp_path):
 
 
 def test_models(spark):
-    images = spark.createDataFrame([("a", b"1"), ("b", None)], "image_path string, content binary")
-    assert {r["image_path"]: r["c"] for r in models.predicted(images, lambda: lambda xs: ["Tables" for _ in xs], "string", "c").collect()} == {"a": "Tables", "b": None}
+    rows = spark.createDataFrame([("a", b"1"), ("b", None)], "image_path string, content binary")
+    assert {r["image_path"]: r["c"] for r in models.predicted(rows, lambda: lambda xs: ["Tables" for _ in xs], "string", "c").collect()} == {"a": "Tables", "b": None}
 
     def broken():
         raise OSError
 
-    assert models.predicted(images, broken, "string", "c").filter("c is not null").isEmpty()
+    assert models.predicted(rows, broken, "string", "c").filter("c is not null").isEmpty()
     scores = [0.0] * 25
     scores[3], scores[20] = 0.5, 0.49
     got = spark.createDataFrame([(scores,)], "s array<double>").select(models.clip_decision(F.col("s")).alias("c")).first()["c"]
@@ -152,6 +158,92 @@ def test_whole_extraction(spark, tmp_path):
     assert K.class_histogram(e.figures).count() == 28
 
 
+def test_run_from_archives(spark, tmp_path):
+    rng = np.random.default_rng(1)
+    strips = [rng.integers(0, 200, (80, 600, 3)).astype(np.uint8) for _ in range(5)]
+    blocks = [{"type": "image", "img_path": f"images/f{i}.png", "page_idx": 3, "bbox": [100, 50 + 90 * i, 700, 130 + 90 * i]} for i in range(5)]
+    text = "# 结果\n" + "".join(f"![](images/f{i}.png)\n" for i in range(5)) + "图3-17 损伤形貌\n\n如图3-17所示，纤维表面出现条带状损伤形貌。\n\n表1 组成\n<table><tr><th>a</th></tr><tr><td>1</td></tr></table>\n"
+    (tmp_path / "zips").mkdir()
+    with zipfile.ZipFile(tmp_path / "zips" / "one.zip", "w") as z:
+        z.writestr("full.md", text)
+        z.writestr("content_list.json", json.dumps(blocks))
+        for i, pixels in enumerate(strips):
+            z.writestr(f"images/f{i}.png", images.encoded(pixels))
+    (tmp_path / "zips" / "broken.zip").write_bytes(b"PK no archive")
+    said = []
+    given = {**settings.DEFAULTS, "paths": {"archives": "zips", "output_dir": "out"}}
+    assert run.run(spark, given, tmp_path, said.append) == run.DONE
+    rows = spark.read.json(str(tmp_path / "out" / "figures")).collect()
+    merged = [r for r in rows if r["is_merged_figure"]]
+    assert len(rows) == 6 and len(merged) == 1 and merged[0]["reference_sentences"] == ["如图3-17所示，纤维表面出现条带状损伤形貌。"]
+    assert merged[0]["figure_class"] == "microscopy_image" and merged[0]["vision_image_path"].startswith("figures_for_vision/stitched_figure_001")
+    stored = spark.read.parquet(str(tmp_path / "out" / "figures_for_vision")).collect()
+    canvas = images.decoded(bytes(stored[0]["content"]))
+    assert len(stored) == 1 and canvas.shape == (460, 620, 3) and {"papers: 1", "tables_count: 1", "merged_figure_count: 1", "  microscopy_image: 6"} <= set(said)
+    if images.Image is None:
+        assert all((canvas[10 + 90 * i : 90 + 90 * i, 10:610] == pixels).all() for i, pixels in enumerate(strips))
+    assert any(line.startswith("Archive not read") for line in said)
+    (tmp_path / "zips" / "one.zip").unlink()
+    assert run.run(spark, given, tmp_path, said.append) == run.FAILED
+    assert run.run(spark, {**given, "paths": {"archives": "none"}}, tmp_path, said.append) == run.NO_INPUT
+    assert run.run(spark, {**given, "paths": {"input_pdf": "zips"}}, tmp_path, said.append) == run.FAILED  # no key
+
+
+def test_blank_and_small_canvases_are_refused(spark):
+    text = "".join(f"![](f{i}.png)\n" for i in range(5)) + "Fig. 7 A long strip\n\nEnd."
+    p = paper(spark, text)
+    figs = G.figure_rows(p).withColumn("image_path", F.concat(F.lit("/i/"), F.col("position").cast("string")))
+    k = F.col("subfigure_index").cast("double")
+    sizes = figs.select("image_path", F.lit(600).alias("width"), F.lit(80).alias("height"))
+    for pixels, wide, reason in ((np.full((80, 600, 3), 255, np.uint8), 600.0, "stitched_image_too_sparse"), (None, 600.0, "stitched_image_abnormal"), (np.zeros((4, 4, 3), np.uint8), 600.0, None)):
+        boxed = figs.withColumns({"page_idx": F.lit(3), "bbox": F.array(F.lit(0.0), k * 80, F.lit(wide), k * 80 + 80)})
+        contents = figs.select("image_path", F.lit(None if pixels is None else images.encoded(pixels)).cast("binary").alias("content"))
+        rows = H.merge_fragments(boxed, p, sizes, stitching.stitched_groups(boxed, p, sizes, contents)).collect()
+        assert {r["review_reason"] for r in rows} == {reason} and sum(r["is_merged_figure"] for r in rows) == (reason is None)
+
+
+def test_image_codec():
+    rng = np.random.default_rng(2)
+    pixels = rng.integers(0, 256, (7, 5, 3)).astype(np.uint8)
+    raw = bytearray()
+    above = np.zeros(15, int)
+    for y, kind in enumerate((0, 1, 2, 3, 4, 4, 3)):  # every filter of a PNG
+        line = pixels[y].reshape(-1).astype(int)
+        left, corner = np.concatenate([[0, 0, 0], line[:-3]]), np.concatenate([[0, 0, 0], above[:-3]])
+        near = np.stack([left, above, corner])
+        paeth = near[np.abs(left + above - corner - near).argmin(axis=0), np.arange(15)]
+        guess = (0 * line, left, above, (left + above) // 2, paeth)[kind]
+        raw += bytes([kind]) + ((line - guess) % 256).astype(np.uint8).tobytes()
+        above = line
+
+    def chunk(name, data):
+        return struct.pack(">I", len(data)) + name + data + b"0000"
+
+    png = images.PNG + chunk(b"IHDR", struct.pack(">IIBBBBB", 5, 7, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(bytes(raw))) + chunk(b"IEND", b"")
+    assert (images._png(png) == pixels).all() and images.decoded(b"no image") is None
+    bmp = b"BM" + bytes(8) + struct.pack("<IIiiHHIIiiII", 54, 40, 5, 7, 1, 24, 0, 0, 0, 0, 0, 0) + b"".join(pixels[y][:, ::-1].tobytes() + b"\0" for y in range(6, -1, -1))
+    assert (images._bmp(bmp) == pixels).all()
+    assert images.resized(pixels, 5, 7) is pixels and images.resized(np.full((4, 4, 3), 9, np.uint8), 8, 2).shape == (2, 8, 3)
+    assert images.blank_share(np.full((2, 2, 3), 250, np.uint8)) == 1.0 and images.blank_share(np.zeros((2, 2, 3), np.uint8)) == 0.0
+
+
+def test_models_by_batches_and_urls(spark, tmp_path):
+    def load():
+        def predictor(contents):
+            if b"bad" in contents:
+                raise ValueError
+            return [f"{len(contents)}" for _ in contents]
+
+        return predictor
+
+    rows = spark.createDataFrame([(str(i), b"bad" if i == 5 else b"x") for i in range(6)] + [("n", None)], "image_path string, content binary").coalesce(1)
+    got = {r["image_path"]: r["c"] for r in models.predicted(rows, load, "string", "c", batch_size=3).collect()}
+    assert got == {"0": "3", "1": "3", "2": "3", "3": "1", "4": "1", "5": None, "n": None}
+    (tmp_path / "i.png").write_bytes(b"pixels")
+    urls = spark.createDataFrame([("a", None, (tmp_path / "i.png").as_uri()), ("b", b"own", "http://no.invalid/x"), ("c", None, "no url"), ("d", None, None)], "image_path string, content binary, image_url string")
+    assert {r["image_path"]: r["content"] and bytes(r["content"]) for r in models.fetched(urls).collect()} == {"a": b"pixels", "b": b"own", "c": None, "d": None}
+
+
 def test_stream(spark, tmp_path):
     from plinth.streaming import intake
 

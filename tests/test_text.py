@@ -17,11 +17,24 @@ def test_chemistry_line(spark):
     assert one(spark, normalize_chemistry(F.col("t"), True), t="Al2O3") == "Al₂O₃"
 
 
+def test_wrappers_nest_to_any_depth(spark):
+    deep = "x"
+    for i in range(30):
+        deep = f"\\{('mathrm', 'text', 'mathbf')[i % 3]}{{ {deep} }}"
+    assert one(spark, normalize_chemistry(F.col("t")), t=f"a {deep} b") == "a x b"
+
+
+def test_long_texts_in_one_pass(spark):
+    text = "Ein Satz mit Zeichen. " * 20_000
+    assert one(spark, F.size(X.sentences(F.col("t"))), t=text) == 20_000
+    assert one(spark, F.element_at(X.matches(F.col("t"), "Satz"), -1)["s"], t=text) == text.rindex("Satz")
+
+
 def test_sentences(spark):
     text = "See Fig. 2 for 3.5 units of it. Short. 这是一个完整的句子。An open tail of text"
     got = one(spark, X.complete_sentences(F.col("t")), t=text)
     assert got == ["See Fig. 2 for 3.5 units of it.", "这是一个完整的句子。"]
-    spans = one(spark, X.sentences(F.col("t"), keep_tail=True), t=text)
+    spans = one(spark, X.sentences(F.col("t")), t=text)
     assert spans[-1]["m"] == "An open tail of text" and spans[-1]["e"] == len(text)
 
 
