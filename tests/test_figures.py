@@ -192,7 +192,7 @@ def test_run_from_archives(spark, tmp_path):
 def test_blank_and_small_canvases_are_refused(spark):
     text = "".join(f"![](f{i}.png)\n" for i in range(5)) + "Fig. 7 A long strip\n\nEnd."
     p = paper(spark, text)
-    figs = G.figure_rows(p).withColumn("image_path", F.concat(F.lit("/i/"), F.col("position").cast("string")))
+    figs = spark.createDataFrame(G.figure_rows(p).withColumn("image_path", F.concat(F.lit("/i/"), F.col("position").cast("string"))).collect(), G.FIGURE)
     k = F.col("subfigure_index").cast("double")
     sizes = figs.select("image_path", F.lit(600).alias("width"), F.lit(80).alias("height"))
     for pixels, wide, reason in ((np.full((80, 600, 3), 255, np.uint8), 600.0, "stitched_image_too_sparse"), (None, 600.0, "stitched_image_abnormal"), (np.zeros((4, 4, 3), np.uint8), 600.0, None)):
