@@ -1,26 +1,35 @@
 """Quality classifier by Bradley-Terry pairwise ranking.
 
-Every preferred document beats every rejected one in the pairs drawn from the labels; a linear score is learnt by
-logistic loss on the differences of their features. Scores are then placed on 0 to 1 so that the quantile of the
-training scores which separates the labels best falls on the threshold.
+Every preferred document beats every rejected one: a linear score is learnt by logistic loss on the differences of
+their features, over all pairs of all labelled rows. Scores are then placed on 0 to 1 so that the cut between training
+scores which separates the labels best falls on the threshold.
+
+The rows stay on the executors. Loss and gradient need, of every row, a sum over the rows of the other label, which is a
+smooth function of the row's score. It is taken from the counts of all scores on a fine grid, spread and read by cubic
+interpolation; the error is below 1e-9 a pair.
 """
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plinth.llm.common import held, saved, unit_hash
+from plinth.llm.common import held, saved
 
 THRESHOLD = 0.3
-#: Bounds of what is learnt from: labelled documents (as expected by the sampling rate), and pairs drawn from them.
-LABELLED, PAIRS = 20_000, 100_000
+#: Steps of the grid for sums over all pairs, of the one for their curvature (which only directs the steps), of scores.
+FINE, COARSE, UNIT = 1 / 64, 1 / 4, 1e-9
+#: Weight of the squared weights in the loss.
+DECAY = 1e-4
+#: Parts into which the scores are divided at once in search of the cut.
+PARTS = 4096
 MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 REPEATED = re.compile(rb"([#$%&*!|@^~=_+\-.?])\1+")
 NAMES = ("log_bytes", "log_words", "lower", "upper", "digit", "space", "newline", "beyond_ascii", "marks", "word_length", "repeated_marks", "marked_words", "capital_words", "different_words", "repeated_lines", "line_length", "word_entropy", *(f"mark_{m:02x}" for m in MARKS))
@@ -63,79 +72,232 @@ def feature_table(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(build, "doc_id long, features array<float>")
 
 
+def matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch["features"].flatten().to_numpy(zero_copy_only=False).reshape(len(batch), len(NAMES)).astype(float)
+
+
+#: Calls a function with features and labels of every part of the rows and merges what it returns.
+Gather = Callable[[Callable, Callable], object]
+
+
+def gatherer(rows: DataFrame) -> Gather:
+    """Parts are merged within each task; a task sends one result to the driver."""
+
+    def gather(part: Callable, merge: Callable) -> object:
+        def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                if len(batch):
+                    one = part(matrix(batch), batch["quality"].to_numpy(zero_copy_only=False))
+                    total = one if total is None else merge(total, one)
+            if total is not None:
+                yield pa.RecordBatch.from_pydict({"total": pa.array([pickle.dumps(total)], pa.binary())})
+
+        parts = [pickle.loads(r["total"]) for r in rows.mapInArrow(build, "total binary").collect()]
+        return reduce(merge, parts) if parts else None
+
+    return gather
+
+
+def added(a: tuple, b: tuple) -> tuple:
+    return tuple(x + y for x, y in zip(a, b))
+
+
+def aligned(a: tuple, b: tuple) -> tuple:
+    """Sum of two (first place, values by label and place)."""
+    first = min(a[0], b[0])
+    out = np.zeros((2, max(a[0] + a[1].shape[1], b[0] + b[1].shape[1]) - first))
+    for start, values in (a, b):
+        out[:, start - first : start - first + values.shape[1]] += values
+    return first, out
+
+
+def cubic(s: np.ndarray) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+    """The first of the four places of the fine grid around each score, and the weights of the four."""
+    at = np.floor(s / FINE)
+    f = s / FINE - at
+    return at.astype(int) - 1, (-f * (f - 1) * (f - 2) / 6, (f + 1) * (f - 1) * (f - 2) / 2, -(f + 1) * f * (f - 2) / 2, (f + 1) * f * (f - 1) / 6)
+
+
+def on_grid(s: np.ndarray, y: np.ndarray) -> tuple:
+    """(first place, rows by label and place) of the fine grid."""
+    at, weights = cubic(s)
+    first = int(at.min())
+    n = int(at.max()) - first + 4
+    flat = sum(np.bincount(y * n + at - first + k, w, 2 * n) for k, w in enumerate(weights))
+    return first, flat.reshape(2, n)
+
+
+def coarse_counts(s: np.ndarray, y: np.ndarray) -> tuple:
+    at = np.rint(s / COARSE).astype(int)
+    first = int(at.min())
+    n = int(at.max()) - first + 1
+    return first, np.bincount(y * n + at - first, minlength=2 * n).reshape(2, n).astype(float)
+
+
+def over_pairs(counts: np.ndarray, f: Callable, unit: float = FINE) -> np.ndarray:
+    """At every place i the sum of counts[j] * f(score of j - score of i) over all places j (the first axis)."""
+    n = len(counts)
+    size = 1 << (3 * n).bit_length()
+    values = np.fft.rfft(f(np.arange(n - 1, -n, -1) * unit), size)
+    return np.fft.irfft(np.fft.rfft(counts, size, axis=0).T * values, size).T[n - 1 : 2 * n - 1]
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 + 0.5 * np.tanh(x / 2)
+
+
+def curve(x: np.ndarray) -> np.ndarray:
+    return sigmoid(x) * sigmoid(-x)
+
+
 class PairwiseRanker:
-    """score = 1 / (1 + exp(-(slope * (w . z(features)) + offset))), z the training rows' standard scores."""
-
-    def __init__(self, x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, epochs: int = 60, seed: int = 11) -> None:
-        rng = np.random.default_rng(seed)
-        self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
-        z = self.standard(x)
-        good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
-        a, b = rng.choice(good, pairs), rng.choice(bad, pairs)
-        self.w = np.zeros(x.shape[1])
-        m, v, step = np.zeros_like(self.w), np.zeros_like(self.w), 0
-        for _ in range(epochs):
-            order = rng.permutation(pairs)
-            for s in range(0, pairs, 4096):
-                pick = order[s : s + 4096]
-                d = z[a[pick]] - z[b[pick]]
-                g = -(d * (1 / (1 + np.exp(np.clip(d @ self.w, -30, 30))))[:, None]).mean(0) + 1e-4 * self.w
-                step += 1
-                m += 0.1 * (g - m)
-                v += 0.01 * (g * g - v)
-                self.w -= 0.02 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        s = z @ self.w
-        # the quantile that separates best by the mean of both labels' recalls; it falls between two training scores
-        cuts = np.unique(np.quantile(s, np.linspace(0, 1, 2001)))
-        cuts = (cuts[1:] + cuts[:-1]) / 2 if len(cuts) > 1 else cuts
-        low, high = np.sort(s[bad]), np.sort(s[good])
-        balance = np.searchsorted(low, cuts) / len(low) + 1 - np.searchsorted(high, cuts) / len(high)
-        best = np.flatnonzero(balance >= balance.max() - 1e-12)
-        self.cut = float(cuts[best[len(best) // 2]])
-        self.slope = 4.0 / (float(s.std()) + 1e-9)
+    """score = 1 / (1 + exp(-(slope * (w . z(features)) + offset))), z the training rows' standard scores.
+
+    What is learnt is rounded, so that it does not depend on the order in which the rows are added up.
+    """
+
+    def __init__(self, gather: Gather) -> None:
+        n, total, squares, good = gather(lambda x, y: (len(y), x.sum(0), (x * x).sum(0), int(y.sum())), added)
+        self.n = np.array([n - good, good], float)  # rejected, preferred
+        mean = total / n
+        self.mean, self.scale = np.round(mean, 9), np.round(np.sqrt(np.maximum(squares / n - mean * mean, 0)), 9) + 1e-3
+        self.w = np.zeros(len(mean))
+        self.descend(gather)
+        self.w = np.round(self.w, 6)
+        first, counts = self.counts(gather)[0]
+        at, counts = (first + np.arange(counts.shape[1])) * FINE, counts.sum(0)
+        self.cut = self.best_cut(gather, at[0], at[-1])
+        spread = np.sqrt(max(0.0, float(counts @ (at - counts @ at / n) ** 2 / n)))
+        self.slope = 4.0 / (round(spread, 6) + 1e-9)
         self.offset = float(np.log(THRESHOLD / (1 - THRESHOLD))) - self.slope * self.cut
 
     def standard(self, x: np.ndarray) -> np.ndarray:
         return np.clip((x - self.mean) / self.scale, -8, 8)
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        """w . z in whole units; equal rows have equal ones whatever lies beside them."""
+        return np.rint((self.standard(x) * self.w).sum(1) / UNIT).astype(np.int64)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (self.standard(x) @ self.w) + self.offset, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.slope * (self.raw(x) * UNIT) + self.offset, -500, 500)))
 
+    def counts(self, gather: Gather) -> tuple:
+        """Rows by label on the fine and on the coarse grid."""
 
-def training_rows(table: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> pd.DataFrame:
-    """doc_id, features, quality of labelled documents outside the held-out fold, about `labelled` of them at most.
+        def part(x: np.ndarray, y: np.ndarray) -> tuple:
+            s = self.standard(x) @ self.w
+            return on_grid(s, y), coarse_counts(s, y)
 
-    Of a doc_id with several texts that with the least features counts, so reruns learn the same.
-    """
+        return gather(part, lambda a, b: (aligned(a[0], b[0]), aligned(a[1], b[1])))
+
+    def loss(self, fine: np.ndarray) -> float:
+        """Mean of log(1 + exp(score of a rejected row - score of a preferred one)) over all pairs, with the decay."""
+        return float(fine[1] @ over_pairs(fine[0], lambda d: np.logaddexp(0, d)) / self.n.prod() + DECAY / 2 * self.w @ self.w)
+
+    def slopes(self, gather: Gather, fine: tuple, coarse: tuple) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient of the loss, and its curvature with scores as they are on the coarse grid."""
+        first, rows = fine
+        pull = np.stack([over_pairs(rows[1], lambda d: sigmoid(-d)), -over_pairs(rows[0], sigmoid)]).ravel()
+        start, grouped = coarse
+        n, m, pairs = rows.shape[1], grouped.shape[1], self.n.prod()
+        bend = over_pairs(grouped[::-1].T, curve, COARSE).T.ravel()
+
+        def part(x: np.ndarray, y: np.ndarray) -> tuple:
+            z = self.standard(x)
+            s = z @ self.w
+            at, weights = cubic(s)
+            at = np.clip(at - first, 0, n - 4) + y * n  # a score may be rounded otherwise than when it was counted
+            c = sum(pull[at + k] * w for k, w in enumerate(weights))
+            at = np.clip(np.rint(s / COARSE).astype(int) - start, 0, m - 1) + y * m
+            order = np.argsort(at, kind="stable")
+            places, starts = np.unique(at[order], return_index=True)
+            sums = np.zeros((2 * m, z.shape[1]))
+            sums[places] = np.add.reduceat(z[order], starts)
+            return c @ z, (z * bend[at][:, None]).T @ z, sums
+
+        gradient, own, sums = gather(part, added)
+        cross = sums[m:].T @ over_pairs(sums[:m], curve, COARSE)
+        return gradient / pairs + DECAY * self.w, (own - cross - cross.T) / pairs + DECAY * np.eye(len(self.w))
+
+    def descend(self, gather: Gather) -> None:
+        """Newton's method with halved steps, until the weights stand still."""
+        fine, coarse = self.counts(gather)
+        now = self.loss(fine[1])
+        for _ in range(200):
+            gradient, curvature = self.slopes(gather, fine, coarse)
+            step, old = -np.linalg.solve(curvature, gradient), self.w
+            share = 1.0
+            while True:
+                self.w = old + share * step
+                fine, coarse = self.counts(gather)
+                after = self.loss(fine[1])
+                if after <= now + 1e-4 * share * (gradient @ step) + 1e-13 or share < 1e-6:
+                    break
+                share /= 2
+            now = after
+            if np.abs(self.w - old).max() < 1e-8:
+                return
+
+    def best_cut(self, gather: Gather, low: float, high: float) -> float:
+        """The cut with the largest mean of both labels' recalls, among all cuts; the middle of the gap it falls in.
+
+        Within a part that holds both labels a cut can win no more than the part's rejected rows. Parts that could win
+        are divided again, down to single scores.
+        """
+        edges = np.unique(np.linspace(np.floor(low / UNIT), np.ceil(high / UNIT) + 1, PARTS).astype(np.int64))
+        starts, ends = edges[:1], edges[-1:]
+        best, cut = -np.inf, 0
+        while len(starts):
+            below = gather(lambda x, y: (self.below(x, y, edges),), added)[0]  # by label and edge
+            gain = below[0] / self.n[0] - below[1] / self.n[1]
+            if gain.max() > best + 1e-12:
+                best, cut = float(gain.max()), int(edges[gain.argmax()])
+            inside = np.diff(below)
+            may = (gain[:-1] + inside[0] / self.n[0] > best + 1e-12) & (inside[1] > 0) & (np.diff(edges) > 1)
+            may &= edges[:-1] < ends[np.searchsorted(starts, edges[:-1], "right") - 1]  # not what lies between the parts
+            starts, ends = edges[:-1][may], edges[1:][may]
+            parts = max(2, PARTS // max(1, len(starts)))
+            edges = np.unique([np.linspace(a, b, parts + 1).astype(np.int64) for a, b in zip(starts, ends)])
+
+        def around(x: np.ndarray, y: np.ndarray) -> tuple:
+            s = self.raw(x)
+            return s[s < cut].max(initial=np.iinfo(np.int64).min), s[s >= cut].min(initial=np.iinfo(np.int64).max)
+
+        under, over = gather(around, lambda a, b: (max(a[0], b[0]), min(a[1], b[1])))
+        under, over = (int(x) if abs(int(x)) < 1 << 62 else cut for x in (under, over))
+        return (under + over) / 2 * UNIT
+
+    def below(self, x: np.ndarray, y: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        s = self.raw(x)
+        return np.stack([np.searchsorted(np.sort(s[y == label]), edges) for label in (0, 1)])
+
+
+def training_rows(table: DataFrame, labels: DataFrame) -> DataFrame:
+    """features, quality: every row of a labelled document outside the held-out fold."""
     own = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held(F.col("doc_id"), 5, 0))
-    own = own.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").alias("quality"))
-    per = {r["quality"]: r["count"] for r in own.groupBy("quality").count().collect()}
-    rate = F.when(F.col("quality") == 1, min(1.0, labelled / 2 / max(1, per.get(1, 0)))).otherwise(min(1.0, labelled / 2 / max(1, per.get(0, 0))))
-    picked = own.filter(unit_hash(F.col("doc_id"), seed=23) < rate)
-    rows = table.join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(F.min("features").alias("features"), F.max("quality").alias("quality"))
-    return rows.toPandas().sort_values("doc_id", ignore_index=True)
+    own = own.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("quality").cast("int").alias("quality"))
+    return table.join(own, "doc_id").select("features", "quality")
 
 
-def quality(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per row of docs.
 
     Without documents of both labels to learn from, every score is 0.5. A null text counts as empty; empty texts get
     the score of their (zero) features. A null doc_id is not held out, nor learnt from. If a doc_id has several
-    labels, 1 counts. Repeated rows get equal scores; an empty table gives no rows. Columns of docs other than doc_id
-    and text, and of labels other than doc_id and quality, are ignored.
+    labels, 1 counts, for each of its rows. Repeated rows get equal scores, and each is learnt from; an empty table
+    gives no rows. Columns of docs other than doc_id and text, and of labels other than doc_id and quality, are ignored.
     """
     table = saved(feature_table(docs))
-    rows = training_rows(table, labels.select("doc_id", "quality"), labelled)
-    ranker = None
-    if rows["quality"].nunique() == 2:
-        ranker = PairwiseRanker(np.array(rows["features"].tolist(), float), rows["quality"].to_numpy())
+    rows = saved(training_rows(table, labels.select("doc_id", "quality")))
+    both = rows.select("quality").distinct().count() == 2
+    ranker = PairwiseRanker(gatherer(rows)) if both else None
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            x = np.array(batch["features"].to_pylist(), float)
-            score = np.full(len(x), 0.5) if ranker is None else ranker.score(x)
+            score = np.full(len(batch), 0.5) if ranker is None else ranker.score(matrix(batch))
             yield pa.RecordBatch.from_pydict({"doc_id": batch["doc_id"], "score": pa.array(score, pa.float64())})
 
     scored = table.mapInArrow(apply, "doc_id long, score double")

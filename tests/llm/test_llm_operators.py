@@ -1,5 +1,6 @@
 """Operators against brute force, round trips and held-out labels, and their defined results for odd inputs."""
 
+import functools
 import hashlib
 import html as html_module
 import random
@@ -292,6 +293,62 @@ def test_quality_odd(odd, spark):
     assert quality.quality(odd.limit(0), labels).count() == 0
 
 
+def test_quality_learns_from_all_pairs(spark):
+    """30,000 labelled rows of 40 texts: weights, cut and scores as plain sums over all pairs of all rows give them."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["ab", "Cde", "FG", "12", "h!!", "i.", "--", "j\n", "é"]) for _ in range(rng.randint(3, 40))) for _ in range(40)]
+    rows = [(i, rng.randrange(40)) for i in range(30_000)]
+    rows = [(i, t, int(rng.random() < 0.2 + t / 60)) for i, t in rows]
+    docs = spark.createDataFrame([(i, texts[t]) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    got = {r["text"]: r["score"] for r in quality.quality(docs, labels).join(docs, "doc_id").groupBy("text").agg(F.max("score").alias("score")).collect()}
+
+    n = np.zeros((2, 40))
+    for i, t, y in rows:
+        n[y, t] += zlib.crc32(str(i).encode()) % 5 != 0
+    assert n.sum(1).min() > 10_000
+    x = np.array([quality.features(t) for t in texts], np.float32).astype(float)
+    mean = np.average(x, 0, n.sum(0))
+    z = np.clip((x - mean) / (np.sqrt(np.average((x - mean) ** 2, 0, n.sum(0))) + 1e-3), -8, 8)
+    share = np.outer(n[1], n[0]) / n[1].sum() / n[0].sum()
+    d = z[:, None] - z[None]
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = share / (1 + np.exp(d @ w))
+        h = p * (1 - 1 / (1 + np.exp(d @ w)))
+        w -= np.linalg.solve(np.einsum("ij,ijk,ijl->kl", h, d, d) + 1e-4 * np.eye(len(w)), 1e-4 * w - np.einsum("ij,ijk->k", p, d))
+    s = z @ w
+    cuts = np.sort(s)
+    best = cuts[np.argmax([n[0, s < c].sum() / n[0].sum() + n[1, s >= c].sum() / n[1].sum() for c in cuts])]
+    cut = (best + s[s < best].max()) / 2
+    spread = np.sqrt(np.average((s - np.average(s, weights=n.sum(0))) ** 2, weights=n.sum(0)))
+    want = 1 / (1 + np.exp(-(4 / spread * (s - cut) + np.log(3 / 7))))
+    assert max(abs(got[t] - v) for t, v in zip(texts, want)) < 1e-4
+
+
+def test_quality_cut_is_the_best_of_all():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(4000, 3)).round(2)
+    y = (x[:, 0] + rng.normal(size=4000) > 0).astype(int)
+    parts = [slice(a, a + 900) for a in range(0, 4000, 900)]
+    for order in (parts, parts[::-1]):
+        ranker = quality.PairwiseRanker(lambda part, merge: functools.reduce(merge, [part(x[p], y[p]) for p in order]))
+        s = ranker.raw(x)
+        best = max((s[y == 0] < c).mean() + (s[y == 1] >= c).mean() for c in np.unique(s))
+        says = ranker.score(x) >= quality.THRESHOLD
+        assert abs((~says[y == 0]).mean() + says[y == 1].mean() - best) < 1e-9
+
+
+def test_quality_repeats(spark):
+    """One text for a label, repeated ids, several texts of an id, and labels on which all texts agree."""
+    docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (1, "!! ??"), (2, "c d"), (3, None), (4, "")], "doc_id long, text string")
+    for pairs in ([(1, 1), (1, 0), (2, 0)], [(3, 0), (4, 1)]):
+        got = quality.quality(docs, spark.createDataFrame(pairs, "doc_id long, quality int")).collect()
+        assert len(got) == 6 and all(0 <= r["score"] <= 1 for r in got)
+    table = quality.feature_table(docs)
+    assert quality.training_rows(table, spark.createDataFrame([(1, 1), (1, 0), (2, 0)], "doc_id long, quality int")).count() == 4
+
+
 # --- 5: token packing ---
 
 
